@@ -75,34 +75,66 @@ class PerfectHash:
         return self.ranks[s] if self.keys[s] == key else -1
 
 
-def merge_bytes(piece: bytes, rank_of) -> list[int]:
-    """Ids of ``piece``: again and again the adjacent pair of lowest rank, leftmost first, is joined."""
-    n = len(piece)
-    left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-    stop = list(range(1, n + 1))
-    alive = [True] * n
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) >= 0]
+class Pairs:
+    """Ranks of joined pairs of ids, -1 for none; the perfect hash is asked once for each pair."""
+
+    def __init__(self, rank_of, bytes_of: dict[int, bytes]):
+        self.rank_of, self.bytes_of = rank_of, bytes_of
+        self.known: dict[int, int] = {}
+
+    def ask(self, key: int) -> int:
+        """The rank for ``left << 32 | right``."""
+        if len(self.known) >= CACHE:
+            self.known.clear()
+        rank = self.known[key] = self.rank_of(self.bytes_of[key >> 32] + self.bytes_of[key & 0xFFFFFFFF])
+        return rank
+
+
+def merge_bytes(ids: list[int], pairs: Pairs) -> list[int]:
+    """Join ids, at first those of single bytes: again and again the adjacent pair of lowest rank, leftmost first.
+
+    A heap entry, rank and place in one number, is void if the pair that now begins there has another rank.
+    """
+    n = len(ids)
+    token, left, right = list(ids), list(range(-1, n - 1)), list(range(1, n + 1))
+    known, ask = pairs.known.get, pairs.ask
+    heap = []
+    for i in range(n - 1):
+        key = token[i] << 32 | token[i + 1]
+        if (r := known(key, -2)) == -2:
+            r = ask(key)
+        if r >= 0:
+            heap.append(r << 32 | i)
     heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, end = heapq.heappop(heap)
-        if not alive[i] or right[i] >= n or stop[right[i]] != end:
-            continue  # one of the two has changed since
+        entry = pop(heap)
+        i, rank = entry & 0xFFFFFFFF, entry >> 32
         j = right[i]
-        alive[j], stop[i], right[i] = False, end, right[j]
-        if right[i] < n:
-            left[right[i]] = i
-            if (r := rank_of(piece[i : stop[right[i]]])) >= 0:
-                heapq.heappush(heap, (r, i, stop[right[i]]))
-        if left[i] >= 0 and (r := rank_of(piece[left[i] : end])) >= 0:
-            heapq.heappush(heap, (r, left[i], end))
-    out, i = [], 0
-    while i < n:
-        rank = rank_of(piece[i : stop[i]])
-        if rank < 0:
-            raise ValueError("the vocabulary lacks a single byte")
-        out.append(rank)
-        i = right[i]
-    return out
+        if token[i] < 0 or j >= n:
+            continue
+        key = token[i] << 32 | token[j]
+        if (r := known(key, -2)) == -2:
+            r = ask(key)
+        if r != rank:
+            continue
+        token[i], token[j] = rank, -1
+        k = right[i] = right[j]
+        if k < n:
+            left[k] = i
+            key = rank << 32 | token[k]
+            if (r := known(key, -2)) == -2:
+                r = ask(key)
+            if r >= 0:
+                push(heap, r << 32 | i)
+        h = left[i]
+        if h >= 0:
+            key = token[h] << 32 | rank
+            if (r := known(key, -2)) == -2:
+                r = ask(key)
+            if r >= 0:
+                push(heap, r << 32 | h)
+    return [t for t in token if t >= 0]
 
 
 @lru_cache
@@ -118,12 +150,16 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.index, self.pattern = PerfectHash(ranks), pattern
         self.bytes_of: dict[int, bytes] = {rank: token for token, rank in ranks.items()}
+        if missing := [b for b in range(256) if bytes([b]) not in ranks]:
+            raise ValueError(f"the vocabulary lacks the bytes {missing}")
+        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.pairs = Pairs(self.index.get, self.bytes_of)
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def piece(self, token: str) -> tuple[int, ...]:
         raw = token.encode()
         rank = self.index.get(raw)
-        ids = (rank,) if rank >= 0 else tuple(merge_bytes(raw, self.index.get))
+        ids = (rank,) if rank >= 0 else tuple(merge_bytes([self.single[b] for b in raw], self.pairs))
         if len(self.cache) >= CACHE:
             self.cache.clear()
         if len(token) <= 64:

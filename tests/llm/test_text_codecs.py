@@ -78,7 +78,8 @@ def test_merges_follow_rank_then_place():
                 break
             i = min(found)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        assert byte_bpe.merge_bytes(text, lambda k: ranks.get(k, -1)) == [ranks[p] for p in parts]
+        codec = byte_bpe.Codec(ranks, P.PATTERN)
+        assert byte_bpe.merge_bytes(list(text), codec.pairs) == [ranks[p] for p in parts]
 
 
 def test_token_counts_equal_library(spark, monkeypatch):
