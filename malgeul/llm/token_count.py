@@ -8,6 +8,7 @@ hot join key; the others are joined by a shuffle as postings of a block of docum
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 from collections import Counter
@@ -63,12 +64,13 @@ class WordTokenizer:
         self.pretokens = WordPretokens(self.specials)
 
     def counter(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # else each thread of each worker holds memory of its own
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         whole = Tokenizer.from_str(self.content)
         whole.normalizer = normalizers.Sequence([])
         whole.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        return lambda tokens: [len(e.ids) for e in whole.encode_batch(tokens, add_special_tokens=False)]
+        return lambda tokens: [len(whole.encode(t, add_special_tokens=False).ids) for t in tokens]
 
     def __getstate__(self):
         return {"content": self.content}
