@@ -5,9 +5,9 @@ from __future__ import annotations
 from functools import lru_cache
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from malgeul.llm import byte_bpe, chat, gif, token_count
+from malgeul.llm import byte_bpe, chat, gif, jaccard, mixture, token_count, toxicity
 from malgeul.llm.common import table
 
 CHAT_PROBE = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
@@ -64,5 +64,20 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), byte_codec())
 
 
-QUERIES = {f.__name__: f for f in (op4_chat_format, op6_token_counts, op8_gif_media, op9_byte_bpe)}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "expected_severity", "grade", (F.col("grade") > 0).alias("toxic"))
+
+
+def op7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_chat_format, op6_token_counts, op7_mixture, op8_gif_media, op9_byte_bpe, op10_ngram_jaccard)}
 SQL = {"op4_chat_format": CHAT_SQL}
