@@ -11,8 +11,11 @@
   segment of t = 0, or differs by at most one element in some segment of t = 1.  A segment costs the
   rows that it would be compared with, so rare subsets are taken first.  Segments whose subset
   occurs nowhere else cost nothing, and a set with H + 1 of them is linked with nothing.
-* Candidates are verified exactly.  Components grow in rounds: the members of a signature
-  are first compared with one of them; only pairs that still lie in different components follow.
+* Candidates are verified exactly.  The rows that share a signature are first compared with one of
+  them, twice, and components are formed.  Rows that still share signatures with rows of other
+  components are cut anew: an element that no other such row has makes a difference to
+  all of them, so it leaves the set and lowers H by one.  A pair is then looked up only by the
+  one of the two whose segments cost less.
 
 Hashes of shingles have 64 bits; two shingles of one pair of documents are confused
 with a probability of about 2^-64 for each pair of shingles.
@@ -21,6 +24,7 @@ with a probability of about 2^-64 for each pair of shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +44,21 @@ BROADCAST_ROWS = 1_000_000
 #: Sets that one scan compares with all others where the segments of a set don't suffice.
 BLOCK_SETS, BLOCK_ELEMENTS = 500, 4_000_000
 _MEMO = 1_000_000
+#: Characters of text cut at once.
+PART = 2_000_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+_LOW = 0xFFFFFFFFFFFFFFFF
 
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     x = x + np.uint64(salt)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class _Words(dict):
@@ -62,19 +72,48 @@ class _Words(dict):
 _words = _Words()
 
 
+def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): the sorted distinct hashes of the word shingles of each text, one after the other.
+    Words are runs of ``[^\\x20\\x09-\\x0D]`` with A-Z lowered; fewer than five form one shingle."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    count = np.array([len(w) for w in words], np.int64)
+    w = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), np.uint64, count.sum())
+    at = np.concatenate([[0], np.cumsum(count)])
+    full = max(0, len(w) - SHINGLE + 1)
+    h = np.zeros(len(w), np.uint64)
+    for k in range(SHINGLE):
+        h[:full] += w[k : full + k] * _ODD[k]
+    h[:full] = _mix(h[:full], SHINGLE)
+    keep = np.zeros(len(w), bool)
+    for i in np.flatnonzero(count):
+        a, n = at[i], count[i]
+        if n < SHINGLE:
+            h[a] = _mix((w[a : a + n] * _ODD[:n]).sum(keepdims=True), n)[0]
+            keep[a] = True
+        else:
+            own = h[a : a + n - SHINGLE + 1]
+            own.sort()
+            keep[a] = True
+            np.not_equal(own[1:], own[:-1], out=keep[a + 1 : a + n - SHINGLE + 1])
+    before = np.concatenate([[0], np.cumsum(keep)])
+    return h[keep], before[at]
+
+
 def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles of a text; words are runs of ``[^\\x20\\x09-\\x0D]`` with A-Z lowered."""
-    words = (text or "").encode().lower().split()
-    n = len(words)
-    if not n:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
-    if n < SHINGLE:
-        return _mix((w * _ODD[:n]).sum(keepdims=True), n)
-    h = w[: n - SHINGLE + 1] * _ODD[0]
-    for k in range(1, SHINGLE):
-        h += w[k : n - SHINGLE + 1 + k] * _ODD[k]
-    return np.unique(_mix(h, SHINGLE))
+    return shingle_sets([text])[0]
+
+
+def _parts(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of runs of rows with about PART characters."""
+    first, texts, size = 0, [], 0
+    for i, text in enumerate(column):
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
+        if size >= PART:
+            yield first, texts
+            first, texts, size = i + 1, [], 0
+    if texts:
+        yield first, texts
 
 
 # ---- bands and segments ----
@@ -103,37 +142,80 @@ def layout(g: int) -> tuple[int, int]:
     return m, -(-m // 12)
 
 
-def _segments(h: np.ndarray, g: int):
-    """(segment of each element, first element of each segment that isn't empty, elements of those)."""
-    m, _ = layout(g)
-    seg = (h >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
-    return seg, first, np.diff(np.append(first, len(h)))
-
-
-def units(h: np.ndarray, g: int) -> tuple[int, int]:
-    """Segments that aren't empty, and those that t = 1 may be spent on."""
-    seg, first, k = _segments(h, g)
-    return len(first), int(((seg[first] < layout(g)[1]) & (k > 1)).sum())
+def taken_bands(sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(set, band) for every band in which a set takes part."""
+    pairs = [(i, g) for i, n in enumerate(sizes) for g in bands(n)]
+    both = np.array(pairs, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
 #: slot: band, then one bit for "t = 1 is possible", one for kind D, and the segment.
 _BAND, _ABLE, _D = 40, 39, 38
 
 
-def signatures(h: np.ndarray, g: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and slots of a set in band g."""
-    seg, first, k = _segments(h, g)
-    v = _mix(h, 0x5851F42D4C957F2D)
-    total, own = np.add.reduceat(v, first), seg[first]
-    salt = lambda s: s * np.uint64(0xD1342543DE82EF95) + np.uint64((g + 1) * 0xAEF17502108EF2D9 & 0xFFFFFFFFFFFFFFFF)
-    able = (own < layout(g)[1]) & (k > 1)
-    slot = own.astype(np.int64) | np.int64(g) << _BAND | able.astype(np.int64) << _ABLE
-    keys = _mix(total + salt(own), 0x14057B7EF767814F)
-    wide = np.repeat(able, k)
-    less = np.repeat(total, k)[wide] - v[wide]
-    more = _mix(less + salt(seg[wide]), 0x14057B7EF767814F)
-    return np.concatenate([keys, more]), np.concatenate([slot, np.repeat(slot, k)[wide] | np.int64(1) << _D])
+class Signatures:
+    """The segments of many sets, each in one band: ``who`` takes part in band ``g``."""
+
+    def __init__(self, h: np.ndarray, offsets: np.ndarray, who: np.ndarray, g: np.ndarray):
+        layouts = np.array([layout(b) if 1 << b >= SMALLEST else (1, 0) for b in range(64)], np.int64)
+        n = np.diff(offsets)[who]
+        self.at = np.concatenate([[0], np.cumsum(n)])
+        index = np.repeat(offsets[who] - self.at[:-1], n) + np.arange(self.at[-1])
+        self.h, part = h[index], np.repeat(np.arange(len(who)), n)
+        self.seg = ((self.h >> np.uint64(32)) * layouts[g, 0].astype(np.uint64)[part] >> np.uint64(32)).astype(np.int64)
+        new = np.ones(len(part), bool)
+        new[1:] = (self.seg[1:] != self.seg[:-1]) | (part[1:] != part[:-1])
+        self.first = np.flatnonzero(new)
+        self.size = np.diff(np.append(self.first, len(part)))
+        self.part, self.own, self.g = part[self.first], self.seg[self.first], g
+        self.able = (self.own < layouts[g, 1][self.part]) & (self.size > 1)
+
+    def units(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each participation: segments that aren't empty, and those that t = 1 may be spent on."""
+        k = len(self.g)
+        return np.bincount(self.part, minlength=k), np.bincount(self.part, self.able, k).astype(np.int64)
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, slot, participation) of all signatures."""
+        if not len(self.first):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        v = _mix(self.h, 0x5851F42D4C957F2D)
+        total = np.add.reduceat(v, self.first)
+        g = self.g[self.part]
+        salt = self.own.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + (g + 1).astype(np.uint64) * np.uint64(0xAEF17502108EF2D9)
+        slot = self.own | g << _BAND | self.able.astype(np.int64) << _ABLE
+        wide = np.repeat(self.able, self.size)
+        cell = np.repeat(np.arange(len(self.first)), self.size)[wide]
+        keys = _mix(np.concatenate([total + salt, total[cell] - v[wide] + salt[cell]]), 0x14057B7EF767814F)
+        return keys.view(np.int64), np.concatenate([slot, slot[cell] | 1 << _D]), np.concatenate([self.part, self.part[cell]])
+
+
+def allocate(slots: np.ndarray, n_f: np.ndarray, n_d: np.ndarray, full: int, able: int, h: int) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Spend H + 1 units on the segments of one set in one band at the least cost.
+
+    The rows are its signatures that other rows share, with the F and D rows of each key; it has ``full``
+    segments that aren't empty and ``able`` on which t = 1 may be spent.  Returns for each row whether
+    F and whether D rows of its key are looked up, and the cost; None if no unit needs to be paid for."""
+    d, seg = (slots >> _D & 1).astype(bool), slots & ((1 << _D) - 1)
+    segments, cell = np.unique(seg, return_inverse=True)
+    k = len(segments)
+    has_f = np.zeros(k, bool)
+    has_f[cell[~d]] = True
+    can = np.zeros(k, bool)
+    can[cell[(slots >> _ABLE & 1).astype(bool)]] = True
+    c0 = np.bincount(cell, np.where(d, 0, n_f - 1), k)
+    more = np.maximum(c0, np.bincount(cell, np.where(d, n_f, n_d), k))
+    need = h + 1 - (full - has_f.sum()) - (able - can.sum())
+    if need <= 0:
+        return None
+    cost = np.concatenate([c0[has_f], more[can]])
+    level = np.concatenate([np.zeros(has_f.sum(), int), np.ones(can.sum(), int)])
+    which = np.concatenate([np.flatnonzero(has_f), np.flatnonzero(can)])
+    order = np.lexsort((which, level, cost))[:need]
+    t = np.full(k, -1)
+    np.maximum.at(t, which[order], level[order])
+    own = t[cell]
+    return np.where(d, own == 1, own >= 0), ~d & (own == 1), int(cost[order].sum())
 
 
 # ---- tables ----
@@ -147,20 +229,29 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, lo, hi`` (size and digest of the set) and the units of its one or two bands."""
+    """``doc_id, n, lo, hi`` (size and digest of the set) and for its one or two bands the units and H."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                h = shingles(text.as_py())
-                digest = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), np.int64)
-                own = [(g, *units(h, g)) for g in bands(len(h))] + [(None, None, None)] * 2
-                rows.append((len(h), int(digest[0]), int(digest[1]), *own[0], *own[1]))
-            columns = list(zip(*rows, strict=True)) or [()] * 9
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, pa.int64()) for c in columns)], names)
-
-    names = ["doc_id", "n", "lo", "hi", "g0", "full0", "able0", "g1", "full1", "able1"]
+            for first, texts in _parts(batch["text"]):
+                h, at = shingle_sets(texts)
+                sizes = np.diff(at)
+                digests = b"".join(xxhash.xxh3_128_digest(h[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True))
+                lo, hi = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+                who, g = taken_bands(sizes.tolist())
+                full, able = Signatures(h, at, who, g).units()
+                second = np.concatenate([[False], who[1:] == who[:-1]]) if len(who) else np.zeros(0, bool)
+                columns = []
+                for some in (~second, second):
+                    none = np.ones(len(texts), bool)
+                    none[who[some]] = False
+                    for values in (g, full, able, [differing(int(sizes[i]), int(b)) for i, b in zip(who, g, strict=True)]):
+                        column = np.zeros(len(texts), np.int64)
+                        column[who[some]] = np.array(values, np.int64)[some]
+                        columns.append(pa.array(column, mask=none))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), pa.array(sizes), pa.array(lo), pa.array(hi), *columns], names)
+
+    names = ["doc_id", "n", "lo", "hi", *(f"{c}{i}" for i in (0, 1) for c in ("g", "full", "able", "h"))]
     return _texts(docs).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
@@ -170,73 +261,77 @@ def signature_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            keys, los, slots, held = [], [], [], 0
-
-            def out() -> pa.RecordBatch:
-                parts = [np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for x in (keys, los, slots)]
-                return pa.RecordBatch.from_arrays([pa.array(p) for p in parts], ["key", "lo", "slot"])
-
-            for text in batch["text"]:
-                h = shingles(text.as_py())
-                digest = xxhash.xxh3_128_digest(h.tobytes())
-                if digest in seen:
-                    continue
-                if len(seen) >= _MEMO:
-                    seen.clear()
-                seen.add(digest)
-                for g in bands(len(h)):
-                    key, slot = signatures(h, g)
-                    keys.append(key)
-                    slots.append(slot)
-                    los.append(np.full(len(key), np.frombuffer(digest, np.int64)[0]))
-                    held += len(key)
-                if held > 200_000:
-                    yield out()
-                    keys, los, slots, held = [], [], [], 0
-            yield out()
+            for _, texts in _parts(batch["text"]):
+                h, at = shingle_sets(texts)
+                fresh, los = [], []
+                for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+                    digest = xxhash.xxh3_128_digest(h[a:b].tobytes())
+                    if digest not in seen:
+                        if len(seen) >= _MEMO:
+                            seen.clear()
+                        seen.add(digest)
+                        fresh.append(i)
+                        los.append(digest[:8])
+                lo = np.frombuffer(b"".join(los), np.int64)
+                place, g = taken_bands(np.diff(at)[fresh].tolist())
+                key, slot, part = Signatures(h, at, np.array(fresh, np.int64)[place], g).rows()
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo[place][part]), pa.array(slot)], ["key", "lo", "slot"])
 
     return _texts(docs).select("text").mapInArrow(run, "key long, lo long, slot long")
 
 
-def _shared(rows: DataFrame, by: str, who: str) -> DataFrame:
-    """Rows whose ``by`` has more than one ``who``."""
-    w = Window.partitionBy(by)
-    return rows.withColumn("_a", F.min(who).over(w)).withColumn("_b", F.max(who).over(w)).filter("_a <> _b").drop("_a", "_b")
-
-
-def _probes(active: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cost-based allocation.  ``active``: node, g, seg, able, d, key.  Returns what each node looks up,
-    (node, key, d of the rows to find), and the nodes whose segments don't suffice."""
-    sizes = active.groupBy("key").agg(F.count(F.when(~F.col("d"), 1)).alias("n_f"), F.count(F.when(F.col("d"), 1)).alias("n_d"))
-    rows = active.join(sizes, "key")
-    per_segment = rows.groupBy("node", "g", "seg").agg(
-        F.max("able").alias("able"),
-        F.sum(F.when(~F.col("d"), F.col("n_f") - 1)).alias("c0"),  # null: no other has this subset
-        F.sum(F.when(F.col("d"), F.col("n_f")).otherwise(F.col("n_d"))).alias("more"),
-    )
-    taken = per_segment.groupBy("node", "g").agg(F.count("c0").alias("full"), F.count(F.when(F.col("able"), 1)).alias("able_"))
-    need = sets.join(taken, ["node", "g"]).select("node", "g", (F.col("h") + 1 - (F.col("full_all") - F.col("full")) - (F.col("able_all") - F.col("able_"))).alias("need"))
-    first = per_segment.filter("c0 is not null").select("node", "g", "seg", F.lit(0).alias("t"), F.col("c0").alias("cost"))
-    second = per_segment.filter("able").select("node", "g", "seg", F.lit(1).alias("t"), F.greatest(F.coalesce("c0", F.lit(0)), "more").alias("cost"))
-    order = Window.partitionBy("node", "g").orderBy("cost", "t", "seg")
-    chosen = first.unionByName(second).withColumn("place", F.row_number().over(order)).join(need, ["node", "g"])
-    short = chosen.groupBy("node", "g").agg((F.max("need") > F.max("place")).alias("short")).filter("short").select("node").distinct()
-    chosen = chosen.filter("place <= need").select("node", "g", "seg", "t")
-    looked = (
-        chosen.join(active.select("node", "g", "seg", "key", "d"), ["node", "g", "seg"])
-        .filter("t = 1 or not d")
-        # t = 0 finds equal subsets; t = 1 also finds, by its own subset, larger ones and, by its subsets without one element, smaller ones
-        .select("node", "key", F.when(F.col("d"), False).otherwise(F.col("t") == 1).alias("find_d"))
-    )
-    return looked.distinct(), short
-
-
-def _numbered(sets: DataFrame) -> DataFrame:
-    """One row for each class and band: node, lo, n, g, full_all, able_all and h."""
-    two = sets.select("node", "lo", "n", F.inline(F.array(*(F.struct(F.col(f"g{i}").alias("g"), F.col(f"full{i}").alias("full_all"), F.col(f"able{i}").alias("able_all")) for i in (0, 1)))))
-    top = F.floor(F.log2(F.col("n") + F.lit(0.5)))
-    most = F.when(top == F.col("g"), F.floor(F.col("n") * 100 / LEAST)).otherwise(F.pow(F.lit(2.0), F.col("g") + 1) - 1).cast("long")
-    return two.filter("g is not null").withColumn("h", F.floor((100 - LEAST) * (F.col("n") + most) / (100 + LEAST)).cast("long"))
+def _shared(rows: DataFrame, who: str) -> DataFrame:
+    """The signatures (key, who, slot) whose key more than one ``who`` has, once each, with ``n_f`` and ``n_d``, its rows of
+    either kind.  A key without F rows is of no use."""
+    in_order, whole = Window.partitionBy("key").orderBy(who, "slot"), Window.partitionBy("key")
+    again = (F.lag(who).over(in_order) == F.col(who)) & (F.lag("slot").over(in_order) == F.col("slot"))
+    is_d = F.shiftright("slot", _D).bitwiseAND(1)
+    counted = (
+        rows.withColumn("again", F.coalesce(again, F.lit(False))).filter("not again").drop("again")
+        .withColumn("low", F.min(who).over(whole)).withColumn("high", F.max(who).over(whole))
+        .withColumn("n_d", F.sum(is_d).over(whole)).withColumn("n_f", F.count("*").over(whole) - F.col("n_d"))
+    )
+    return counted.filter("low <> high and n_f > 0").drop("low", "high")
+
+
+_GROUP = ("node", "n", "p", "label", "g", "full", "able", "h")
+
+
+def _allocated(groups: DataFrame) -> DataFrame:
+    """The signatures of the sets that may be linked, ``node, n, p, label, key, d``, with what they look up
+    (``find_f``, ``find_d``) and the cost of the set.  ``groups`` has a row for each set and band with its shared signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch["rows"].flatten()
+            slot, key, n_f, n_d = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            at = np.concatenate([[0], np.cumsum(batch["rows"].value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            full, able, h = (batch[c].to_numpy(zero_copy_only=False) for c in ("full", "able", "h"))
+            out, index = [], []
+            for i in range(len(batch)):
+                own = slice(at[i], at[i + 1])
+                told = allocate(slot[own], n_f[own], n_d[own], int(full[i]), int(able[i]), int(h[i]))
+                if told is not None:
+                    out.append((key[own], (slot[own] >> _D & 1).astype(bool), told[0], told[1], np.full(len(told[0]), told[2])))
+                    index.append(np.full(len(told[0]), i))
+            if not out:
+                continue
+            own = batch.take(pa.array(np.concatenate(index)))
+            yield pa.RecordBatch.from_arrays([*(own[c] for c in names[:4]), *(pa.array(np.concatenate(c)) for c in zip(*out, strict=True))], names)
+
+    names = ["node", "n", "p", "label", "key", "d", "find_f", "find_d", "cost"]
+    return groups.select(*_GROUP, "rows").mapInArrow(run, "node long, n long, p long, label long, key long, d boolean, find_f boolean, find_d boolean, cost long")
+
+
+def _grouped(rows: DataFrame, *by: str) -> DataFrame:
+    own = F.collect_list(F.struct("slot", "key", "n_f", "n_d")).alias("rows")
+    return rows.groupBy(*by).agg(*(F.first(c).alias(c) for c in _GROUP if c not in by), own)
+
+
+def _looks(active: DataFrame) -> DataFrame:
+    """What each node looks up: one row for each key and kind ``d`` of the rows to find."""
+    kinds = F.concat(F.when(F.col("find_f"), F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")), F.when(F.col("find_d"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
+    return active.filter("find_f or find_d").select("node", "n", "p", "label", "cost", "key", F.explode(kinds).alias("d"))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -244,11 +339,10 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), 256):
-                part = batch.slice(i, 256)
-                sets = [shingles(t.as_py()).view(np.int64) for t in part["text"]]
-                at = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.ListArray.from_arrays(at, np.concatenate(sets))], ["node", "elements"])
+            for first, texts in _parts(batch["text"]):
+                h, at = shingle_sets(texts)
+                made = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), made], ["node", "elements"])
 
     wanted = nodes.select(F.col("node").alias("doc_id"))
     few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -264,18 +358,70 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * F.col("same") >= LEAST * (F.size("x") + F.size("y") - F.col("same"))).select("a", "b").distinct()
 
 
-def _pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Distinct pairs a < b of (node, n, label) rows that meet, may be linked by size and aren't connected yet."""
-    x = left.select(*on, *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "label")))
-    y = right.select(*on, *(F.col(c).alias(f"{c}_y") for c in ("node", "n", "label")))
-    met = x.join(y, on).filter("label_x <> label_y").filter(100 * F.least("n_x", "n_y") >= LEAST * F.greatest("n_x", "n_y"))
+_SIDE = ("node", "n", "p", "label", "cost")
+
+
+def _pairs(left: DataFrame, right: DataFrame, cheaper: bool = False) -> DataFrame:
+    """Distinct pairs a < b of rows that meet in a key and kind, may be linked by size and aren't connected yet; if
+    ``cheaper``, only those that the row of lower cost looks up."""
+    x = left.select("key", "d", *(F.col(c).alias(f"{c}_x") for c in _SIDE))
+    y = right.select("key", "d", *(F.col(c).alias(f"{c}_y") for c in _SIDE))
+    fits = (F.col("key") == F.col("key_y")) & (F.col("d") == F.col("d_y")) & (F.col("label_x") != F.col("label_y"))
+    fits &= 100 * F.least("n_x", "n_y") >= LEAST * F.greatest("n_x", "n_y")
+    fits &= (100 + LEAST) * (F.col("p_x") + F.col("p_y")) <= (100 - LEAST) * (F.col("n_x") + F.col("n_y"))
+    if cheaper:
+        fits &= (F.col("cost_x") < F.col("cost_y")) | ((F.col("cost_x") == F.col("cost_y")) & (F.col("node_x") < F.col("node_y")))
+    met = x.join(y.withColumnRenamed("key", "key_y").withColumnRenamed("d", "d_y"), fits)
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
-def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows.withColumn("label", F.col("node"))
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    named = labels.withColumnRenamed("label", "now")
+    return rows.join(named, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now")
+
+
+def _spread(looks: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key and kind are met by more than one component."""
+    both = looks.select("key", "d", "label").unionByName(members.select("key", "d", "label"))
+    mixed = both.groupBy("key", "d").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).filter("low <> high").select("key", "d")
+    return looks.join(mixed, ["key", "d"], "left_semi"), members.join(mixed, ["key", "d"], "left_semi")
+
+
+def _cut_anew(elements: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(groups for ``_allocated``, nodes whose segments don't suffice) of ``nodes(node, label)`` without the
+    elements that only one of them has."""
+    own = elements.join(nodes, "node")
+    items = own.select("node", F.explode("elements").alias("item"))
+    kept = items.withColumn("times", F.count("*").over(Window.partitionBy("item"))).filter("times > 1").groupBy("node").agg(F.collect_list("item").alias("kept"))
+    reduced = own.select("node", "label", F.size("elements").cast("long").alias("n")).join(kept, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, len(batch), 512):
+                part = batch.slice(i, 512)
+                sets = [np.sort(np.array(k.as_py(), np.int64).view(np.uint64)) for k in part["kept"]]
+                sizes = part["n"].to_numpy()
+                at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+                who, g = taken_bands(sizes.tolist())
+                private = sizes - np.diff(at)
+                h = np.array([differing(int(sizes[w]), int(b)) for w, b in zip(who, g, strict=True)], np.int64) - private[who]
+                who, g, h = who[h >= 0], g[h >= 0], h[h >= 0]
+                cut = Signatures(np.concatenate([np.zeros(0, np.uint64), *sets]), at, who, g)
+                full, able = cut.units()
+                key, slot, of = cut.rows()
+                thin = full + able <= h
+                use = ~thin[of]
+                of, key, slot = of[use], key[use], slot[use]
+                # a row without key stands for a set whose segments don't suffice
+                of = np.concatenate([of, np.flatnonzero(thin)])
+                own = part.take(pa.array(who[of]))
+                more = np.zeros(int(thin.sum()), np.int64)
+                keys = pa.array(np.concatenate([key, more]), mask=np.concatenate([np.zeros(len(key), bool), np.ones(len(more), bool)]))
+                made = [own["node"], own["n"], pa.array(private[who[of]]), own["label"], pa.array(g[of]), pa.array(full[of]), pa.array(able[of]), pa.array(h[of]), keys, pa.array(np.concatenate([slot, more]))]
+                yield pa.RecordBatch.from_arrays(made, [*_GROUP, "key", "slot"])
+
+    made = materialize(reduced.mapInArrow(run, ", ".join(f"{c} long" for c in (*_GROUP, "key", "slot"))), "recut")
+    return _grouped(_shared(made.filter("key is not null"), "node"), "node", "g"), made.filter("key is null").select("node").distinct()
 
 
 def _scan_links(docs: DataFrame, short: DataFrame) -> DataFrame | None:
@@ -321,53 +467,44 @@ def link(docs: DataFrame) -> DataFrame:
     table gives no rows.
     """
     sets = materialize(set_table(docs), "sets")
-    classes = (
-        sets.filter("n > 0").groupBy("n", "lo", "hi")
-        .agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("g0", "full0", "able0", "g1", "full1", "able1")))
-    )
+    bands_ = [f"{c}{i}" for i in (0, 1) for c in ("g", "full", "able", "h")]
+    classes = sets.filter("n > 0").groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in bands_))
     classes = materialize(classes, "classes")
-    shared = materialize(_shared(signature_table(docs), "key", "lo"), "shared").distinct()
-    slot = F.col("slot")
-    rows = shared.select(
-        "key", "lo", F.shiftright(slot, _BAND).alias("g"), slot.bitwiseAND((1 << _D) - 1).alias("seg"),
-        (slot.bitwiseAND(1 << _ABLE) > 0).alias("able"), (slot.bitwiseAND(1 << _D) > 0).alias("d"),
-    )
-    numbered = _numbered(classes)
-    # a set with H + 1 segments of its own in a band is linked with nothing there
-    met = rows.groupBy("lo", "g").agg(F.count_distinct(F.when(~F.col("d"), F.col("seg"))).alias("met"))
-    alive = numbered.join(met, ["lo", "g"]).filter("full_all - met <= h")
-    active = materialize(_shared(rows.join(alive.select("lo", "g", "node", "n"), ["lo", "g"]), "key", "node"), "active")
-    probes, short = _probes(active.drop("lo", "n"), numbered)
-    probes = materialize(probes, "probes")
-    # an alive set has too few segments of its own; if it has no active row left, nothing can meet it but through empty segments
-    lost = alive.select("node", "g", "full_all", "h").join(active.select("node", "g").distinct(), ["node", "g"], "left_anti").filter("full_all <= h").select("node")
-    thin = numbered.filter("full_all + able_all <= h").select("node")
-    short = materialize(short.unionByName(lost).unionByName(thin).distinct(), "short")
-
-    size_of = active.select("node", "n").distinct()
-    looks = probes.select("node", "key", F.col("find_d").alias("d")).join(size_of, "node")
-    members = active.select("node", "key", "d", "n").join(probes.select("key", F.col("find_d").alias("d")).distinct(), ["key", "d"], "left_semi")
-    looks, members = materialize(looks, "looks"), materialize(members, "members")
-    elements = materialize(_sets_of(docs, size_of), "elements")
-    labels = edges = None
-    if (scanned := _scan_links(docs, short)) is not None:
-        to_node = sets.filter("n > 0").join(classes.select("n", "lo", "hi", "node"), ["n", "lo", "hi"]).select(F.col("doc_id").alias("b"), "node")
-        edges = materialize(scanned.join(to_node, "b").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
-        labels = materialize(components(edges), "labels")
-    on = ["key", "d"]
-    for turn in range(3):
-        x, y = _labelled(looks, labels), _labelled(members, labels)
-        if turn:
-            # signatures whose rows all lie in one component are done with
-            spread = x.select(*on, "label").unionByName(y.select(*on, "label")).groupBy(*on).agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p <> q").select(*on)
-            looks, members = materialize(looks.join(spread, on, "left_semi"), "looks"), materialize(members.join(spread, on, "left_semi"), "members")
-            x, y = _labelled(looks, labels), _labelled(members, labels)
-        if turn < 2:
-            by = F.col("node") if not turn else F.xxhash64("node")
-            y = y.groupBy(*on).agg(F.min_by(F.struct("node", "n", "label"), by).alias("r")).select(*on, "r.*")
-        found = materialize(_verified(materialize(_pairs(x, y, on), "pairs"), elements), "links")
+    shared = materialize(_shared(signature_table(docs), "lo"), "shared")
+    of_band = lambda c: F.when(F.col("g") == F.col("g0"), F.col(f"{c}0")).otherwise(F.col(f"{c}1")).alias(c)
+    named = shared.join(classes, "lo").withColumn("g", F.shiftright("slot", _BAND))
+    rows = named.select("lo", "node", "n", F.lit(0).cast("long").alias("p"), F.col("node").alias("label"), "g", *map(of_band, ("full", "able", "h")), "key", "slot", "n_f", "n_d")
+    active = materialize(_allocated(_grouped(rows, "lo", "node", "g")), "active")
+    short = classes.filter("full0 + able0 <= h0 or full1 + able1 <= h1").select("node").distinct()
+
+    looks = _looks(active)
+    members = active.join(looks.select("key", "d").distinct(), ["key", "d"], "left_semi")
+    looks, members = materialize(looks, "looks"), materialize(members.select("key", "d", *_SIDE), "members")
+    elements = materialize(_sets_of(docs, active.select("node").distinct()), "elements")
+    to_node = sets.filter("n > 0").join(classes.select("n", "lo", "hi", "node"), ["n", "lo", "hi"]).select(F.col("doc_id").alias("b"), "node")
+
+    def scan(nodes: DataFrame) -> DataFrame | None:
+        if (scanned := _scan_links(docs, materialize(nodes, "short"))) is None:
+            return None
+        return materialize(scanned.join(to_node, "b").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
+
+    edges = scan(short)
+    for by in (F.col("node"), F.xxhash64("node")):
+        # all rows of a key against one of them
+        leader = members.groupBy("key", "d").agg(F.min_by(F.struct(*_SIDE), by).alias("one")).select("key", "d", "one.*")
+        found = materialize(_verified(materialize(_pairs(looks, leader), "pairs"), elements), "links")
         edges = found if edges is None else edges.unionByName(found)
         labels = materialize(components(edges), "labels")
+        looks, members = _spread(_relabelled(looks, labels), _relabelled(members, labels))
+        looks, members = materialize(looks, "looks"), materialize(members, "members")
+    open_ = looks.select("node", "label").unionByName(members.select("node", "label")).distinct()
+    groups, thin = _cut_anew(elements, open_)
+    active = materialize(_allocated(groups), "active")
+    found = materialize(_verified(materialize(_pairs(_looks(active), active, cheaper=True), "pairs"), elements), "links")
+    edges = edges.unionByName(found)
+    if (found := scan(thin)) is not None:
+        edges = edges.unionByName(found)
+    labels = materialize(components(edges), "labels")
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     out = sets.join(named.select("n", "lo", "hi", "label"), ["n", "lo", "hi"], "left")
     null = lambda c: F.when(c != _NONE, c)
@@ -379,3 +516,12 @@ def link(docs: DataFrame) -> DataFrame:
         again = components(more).select(F.col("node").alias("label"), F.col("label").alias("joined"))
         out = out.join(again, "label", "left").withColumn("label", F.coalesce("joined", "label"))
     return out.select(null(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), null(F.coalesce("label", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row whose doc_id is the least, of rows with
+    one doc_id the one whose text sorts first.  Rows with an empty set stay, one for each doc_id."""
+    kept = link(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    first = Window.partitionBy("doc_id").orderBy("text")
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.withColumn("_place", F.row_number().over(first)).filter("_place = 1").select(*docs.columns)
