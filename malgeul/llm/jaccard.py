@@ -29,7 +29,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from malgeul.llm.common import materialize, require
 from malgeul.llm.graph import components
@@ -328,10 +328,20 @@ def _grouped(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(*(F.first(c).alias(c) for c in _GROUP if c not in by), own)
 
 
-def _looks(active: DataFrame) -> DataFrame:
+def _nearest(compared: DataFrame, active: DataFrame) -> DataFrame:
+    """``node, pivot``: the first row of one of its keys that shares most with it, if that is half of its set; rows
+    that are such a row are their own pivot."""
+    sizes = active.select(F.col("node").alias("b"), "n").distinct()
+    best = compared.join(sizes, "b").filter(2 * F.col("same") >= F.col("n")).groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("pivot"))
+    best = best.select(F.col("b").alias("node"), "pivot")
+    own = best.select(F.col("pivot").alias("node")).distinct().join(best.select("node"), "node", "left_anti")
+    return best.unionByName(own.withColumn("pivot", F.col("node")))
+
+
+def _looks(active: DataFrame, *more: str) -> DataFrame:
     """What each node looks up: one row for each key and kind ``d`` of the rows to find."""
     kinds = F.concat(F.when(F.col("find_f"), F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")), F.when(F.col("find_d"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    return active.filter("find_f or find_d").select("node", "n", "p", "label", "cost", "key", F.explode(kinds).alias("d"))
+    return active.filter("find_f or find_d").select("node", "n", "p", "label", "cost", "key", *more, F.explode(kinds).alias("d"))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -350,29 +360,51 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "node long, elements array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, same, linked``: elements that the pairs share."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(left, "a").join(right, "b").withColumn("same", F.size(F.array_intersect("x", "y")))
-    return both.filter(100 * F.col("same") >= LEAST * (F.size("x") + F.size("y") - F.col("same"))).select("a", "b").distinct()
+    return both.select("a", "b", "same", (100 * F.col("same") >= LEAST * (F.size("x") + F.size("y") - F.col("same"))).alias("linked"))
+
+
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.filter("linked").select("a", "b").distinct()
 
 
 _SIDE = ("node", "n", "p", "label", "cost")
 
 
-def _pairs(left: DataFrame, right: DataFrame, cheaper: bool = False) -> DataFrame:
-    """Distinct pairs a < b of rows that meet in a key and kind, may be linked by size and aren't connected yet; if
-    ``cheaper``, only those that the row of lower cost looks up."""
-    x = left.select("key", "d", *(F.col(c).alias(f"{c}_x") for c in _SIDE))
-    y = right.select("key", "d", *(F.col(c).alias(f"{c}_y") for c in _SIDE))
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of rows that meet in a key and kind, may be linked by size and aren't connected yet."""
+    met = _met(left, right, _SIDE, F.lit(True))
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
+def _met(left: DataFrame, right: DataFrame, columns: tuple[str, ...], more: Column) -> DataFrame:
+    x = left.select("key", "d", *(F.col(c).alias(f"{c}_x") for c in columns))
+    y = right.select(F.col("key").alias("key_y"), F.col("d").alias("d_y"), *(F.col(c).alias(f"{c}_y") for c in columns))
     fits = (F.col("key") == F.col("key_y")) & (F.col("d") == F.col("d_y")) & (F.col("label_x") != F.col("label_y"))
     fits &= 100 * F.least("n_x", "n_y") >= LEAST * F.greatest("n_x", "n_y")
-    fits &= (100 + LEAST) * (F.col("p_x") + F.col("p_y")) <= (100 - LEAST) * (F.col("n_x") + F.col("n_y"))
-    if cheaper:
-        fits &= (F.col("cost_x") < F.col("cost_y")) | ((F.col("cost_x") == F.col("cost_y")) & (F.col("node_x") < F.col("node_y")))
-    met = x.join(y.withColumnRenamed("key", "key_y").withColumnRenamed("d", "d_y"), fits)
-    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+    return x.join(y, fits & more)
+
+
+def _pairs_left(looks: DataFrame, members: DataFrame) -> DataFrame:
+    """The same for sets that were cut anew, each pair looked up by its cheaper row: pairs a < b, ``sure`` if they are linked.
+
+    Rows told apart by few elements from one ``pivot`` are compared by these, exactly, as they meet; only links come
+    out.  Of other rows those come out that their private elements don't keep apart."""
+    apart = F.col("p_x") + F.col("p_y")
+    delta = F.size("delta_x") + F.size("delta_y") - 2 * F.size(F.array_intersect("delta_x", "delta_y"))
+    one = F.col("pivot_x") == F.col("pivot_y")
+    within = lambda differ: (100 + LEAST) * differ <= (100 - LEAST) * (F.col("n_x") + F.col("n_y"))
+    cheaper = (F.col("cost_x") < F.col("cost_y")) | ((F.col("cost_x") == F.col("cost_y")) & (F.col("node_x") < F.col("node_y")))
+    nearest = F.abs(F.size("delta_x") - F.size("delta_y"))
+    # one CASE, so that arrays are compared only where sizes leave it open
+    fits = F.when(~cheaper | ~within(apart), False).when(~F.coalesce(one, F.lit(False)), True).when(~within(apart + nearest), False).otherwise(within(apart + delta))
+    met = _met(looks, members, (*_SIDE, "pivot", "delta"), fits)
+    ends = met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), F.coalesce(one, F.lit(False)).alias("sure"))
+    return ends.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -387,13 +419,16 @@ def _spread(looks: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]
     return looks.join(mixed, ["key", "d"], "left_semi"), members.join(mixed, ["key", "d"], "left_semi")
 
 
-def _cut_anew(elements: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(groups for ``_allocated``, nodes whose segments don't suffice) of ``nodes(node, label)`` without the
-    elements that only one of them has."""
+def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(groups for ``_allocated``, nodes whose segments don't suffice, ``node, pivot, delta``) of ``nodes(node, label)`` without
+    the elements that only one of them has."""
     own = elements.join(nodes, "node")
     items = own.select("node", F.explode("elements").alias("item"))
     kept = items.withColumn("times", F.count("*").over(Window.partitionBy("item"))).filter("times > 1").groupBy("node").agg(F.collect_list("item").alias("kept"))
-    reduced = own.select("node", "label", F.size("elements").cast("long").alias("n")).join(kept, "node")
+    reduced = materialize(own.select("node", "label", F.size("elements").cast("long").alias("n")).join(kept, "node"), "kept")
+    of_pivot = elements.select(F.col("node").alias("pivot"), F.col("elements").alias("whole"))
+    near = reduced.select("node", "kept").join(pivots, "node").join(of_pivot, "pivot")
+    told = near.select("node", "pivot", F.concat(F.array_except("kept", "whole"), F.array_except("whole", "kept")).alias("delta"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -421,7 +456,7 @@ def _cut_anew(elements: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFra
                 yield pa.RecordBatch.from_arrays(made, [*_GROUP, "key", "slot"])
 
     made = materialize(reduced.mapInArrow(run, ", ".join(f"{c} long" for c in (*_GROUP, "key", "slot"))), "recut")
-    return _grouped(_shared(made.filter("key is not null"), "node"), "node", "g"), made.filter("key is null").select("node").distinct()
+    return _grouped(_shared(made.filter("key is not null"), "node"), "node", "g"), made.filter("key is null").select("node").distinct(), told
 
 
 def _scan_links(docs: DataFrame, short: DataFrame) -> DataFrame | None:
@@ -489,19 +524,25 @@ def link(docs: DataFrame) -> DataFrame:
         return materialize(scanned.join(to_node, "b").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
 
     edges = scan(short)
+    pivots = None
     for by in (F.col("node"), F.xxhash64("node")):
         # all rows of a key against one of them
         leader = members.groupBy("key", "d").agg(F.min_by(F.struct(*_SIDE), by).alias("one")).select("key", "d", "one.*")
-        found = materialize(_verified(materialize(_pairs(looks, leader), "pairs"), elements), "links")
+        compared = materialize(_compared(materialize(_pairs(looks, leader), "pairs"), elements), "compared")
+        if pivots is None:
+            pivots = _nearest(compared, active)
+        found = _linked(compared)
         edges = found if edges is None else edges.unionByName(found)
         labels = materialize(components(edges), "labels")
         looks, members = _spread(_relabelled(looks, labels), _relabelled(members, labels))
         looks, members = materialize(looks, "looks"), materialize(members, "members")
     open_ = looks.select("node", "label").unionByName(members.select("node", "label")).distinct()
-    groups, thin = _cut_anew(elements, open_)
-    active = materialize(_allocated(groups), "active")
-    found = materialize(_verified(materialize(_pairs(_looks(active), active, cheaper=True), "pairs"), elements), "links")
-    edges = edges.unionByName(found)
+    groups, thin, told = _cut_anew(elements, open_, pivots)
+    active = materialize(_allocated(groups).join(materialize(told, "delta"), "node", "left"), "active")
+    looks = _looks(active, "pivot", "delta")
+    pairs = materialize(_pairs_left(looks, active), "pairs")
+    found = _linked(_compared(pairs.filter("not sure").drop("sure"), elements))
+    edges = edges.unionByName(pairs.filter("sure").select("a", "b")).unionByName(materialize(found, "links"))
     if (found := scan(thin)) is not None:
         edges = edges.unionByName(found)
     labels = materialize(components(edges), "labels")
