@@ -302,22 +302,23 @@ def _allocated(groups: DataFrame) -> DataFrame:
     (``find_f``, ``find_d``) and the cost of the set.  ``groups`` has a row for each set and band with its shared signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch["rows"].flatten()
-            slot, key, n_f, n_d = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-            at = np.concatenate([[0], np.cumsum(batch["rows"].value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-            full, able, h = (batch[c].to_numpy(zero_copy_only=False) for c in ("full", "able", "h"))
-            out, index = [], []
-            for i in range(len(batch)):
-                own = slice(at[i], at[i + 1])
-                told = allocate(slot[own], n_f[own], n_d[own], int(full[i]), int(able[i]), int(h[i]))
-                if told is not None:
-                    out.append((key[own], (slot[own] >> _D & 1).astype(bool), told[0], told[1], np.full(len(told[0]), told[2])))
-                    index.append(np.full(len(told[0]), i))
-            if not out:
-                continue
-            own = batch.take(pa.array(np.concatenate(index)))
-            yield pa.RecordBatch.from_arrays([*(own[c] for c in names[:4]), *(pa.array(np.concatenate(c)) for c in zip(*out, strict=True))], names)
+        for whole in batches:
+            for start in range(0, len(whole), 256):
+                batch = whole.slice(start, 256)
+                flat = batch["rows"].flatten()
+                slot, key, n_f, n_d = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                at = np.concatenate([[0], np.cumsum(batch["rows"].value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+                full, able, h = (batch[c].to_numpy(zero_copy_only=False) for c in ("full", "able", "h"))
+                out, index = [], []
+                for i in range(len(batch)):
+                    own = slice(at[i], at[i + 1])
+                    told = allocate(slot[own], n_f[own], n_d[own], int(full[i]), int(able[i]), int(h[i]))
+                    if told is not None:
+                        out.append((key[own], (slot[own] >> _D & 1).astype(bool), told[0], told[1], np.full(len(told[0]), told[2])))
+                        index.append(np.full(len(told[0]), i))
+                if out:
+                    own = batch.select(names[:4]).take(pa.array(np.concatenate(index)))
+                    yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(np.concatenate(c)) for c in zip(*out, strict=True))], names)
 
     names = ["node", "n", "p", "label", "key", "d", "find_f", "find_d", "cost"]
     return groups.select(*_GROUP, "rows").mapInArrow(run, "node long, n long, p long, label long, key long, d boolean, find_f boolean, find_d boolean, cost long")
@@ -449,7 +450,7 @@ def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame) -> tuple
                 of, key, slot = of[use], key[use], slot[use]
                 # a row without key stands for a set whose segments don't suffice
                 of = np.concatenate([of, np.flatnonzero(thin)])
-                own = part.take(pa.array(who[of]))
+                own = part.select(["node", "n", "label"]).take(pa.array(who[of]))
                 more = np.zeros(int(thin.sum()), np.int64)
                 keys = pa.array(np.concatenate([key, more]), mask=np.concatenate([np.zeros(len(key), bool), np.ones(len(more), bool)]))
                 made = [own["node"], own["n"], pa.array(private[who[of]]), own["label"], pa.array(g[of]), pa.array(full[of]), pa.array(able[of]), pa.array(h[of]), keys, pa.array(np.concatenate([slot, more]))]
