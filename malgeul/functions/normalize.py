@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from malgeul.functions.numbers import SPACE, number_of, read_each_digit, read_hour, read_native, read_sino
+from malgeul.functions.numbers import SPACE, number_of, read_each_digit, read_number, read_sino
 from malgeul.functions.textexpr import LOST, U, collapse, either, let, replace_with, sanitize, words
 
 # Word lists of the language rules.
@@ -88,8 +88,7 @@ def _unit(unit: Column) -> Column:
 
 def _counted(number: Column, unit: Column) -> Column:
     """Hours and native units in native words, machines so below ten, all others in Sino-Korean."""
-    native = unit.isin(NATIVE_UNITS)
-    return let(number, lambda n: F.when(unit == "시", read_hour(n)).when(native | ((unit == "대") & (n < 10)), read_native(n)).otherwise(read_sino(n)))
+    return read_number(number, lambda n: ((unit == "시") & (n <= 12)) | unit.isin(NATIVE_UNITS) | ((unit == "대") & (n < 10)))
 
 
 def decimals(text: Column) -> Column:

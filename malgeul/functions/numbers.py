@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from malgeul.functions.textexpr import let
@@ -57,14 +59,19 @@ def read_sino(n: Column) -> Column:
     return let(whole, lambda v: F.when(F.abs(v) >= limit, F.lit(None).cast("string")).when(v < 0, F.concat(F.lit("마이너스" + SPACE), positive(-v))).otherwise(F.when(v.isNotNull(), positive(v))))
 
 
+def read_number(n: Column, native: Callable[[Column], Column]) -> Column:
+    """1 to 99 in native words where ``native`` of the number holds, all others as ``read_sino``."""
+    small = lambda v: _join(F.nullif(_pick(NATIVE_TENS, F.floor(v / 10)), F.lit("")), F.nullif(_pick(NATIVE_ONES, v % 10), F.lit("")))
+    return let(n.cast("decimal(38,0)"), lambda v: F.when(native(v) & (v > 0) & (v < 100), small(v.cast("int"))).otherwise(read_sino(v)))
+
+
 def read_native(n: Column) -> Column:
     """1 to 99 in native words, all others as ``read_sino``."""
-    small = lambda v: _join(F.nullif(_pick(NATIVE_TENS, F.floor(v / 10)), F.lit("")), F.nullif(_pick(NATIVE_ONES, v % 10), F.lit("")))
-    return let(n.cast("decimal(38,0)"), lambda v: F.when((v > 0) & (v < 100), small(v.cast("int"))).otherwise(read_sino(v)))
+    return read_number(n, lambda v: F.lit(True))
 
 
 def read_hour(n: Column) -> Column:
-    return let(n.cast("decimal(38,0)"), lambda v: F.when((v >= 1) & (v <= 12), read_native(v)).otherwise(read_sino(v)))
+    return read_number(n, lambda v: v <= 12)
 
 
 def read_each_digit(text: Column) -> Column:

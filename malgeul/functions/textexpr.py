@@ -55,10 +55,16 @@ def replace_with(text: Column, pattern: str, groups: int, value: Callable[[list[
     return F.array_join(F.transform(F.split(marked, _MATCH), part), "")
 
 
+_CHUNK = 64
+
+
 def match_offsets(text: Column, pattern: str) -> Column:
-    """``array<struct<start, end, text>>`` of all matches, half-open, in code points."""
+    """``array<struct<start, end, text>>`` of all matches, half-open, in code points.
+
+    Appending to an array copies it, so pieces are folded in chunks and the chunks then placed one after the other."""
     pieces = F.split(F.regexp_replace(text, pattern, _MATCH + "$0" + _GROUP), _MATCH)
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int, text: string>>)").alias("found"))
+    one = "struct<start: int, end: int, text: string>"
+    empty = lambda kind: F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{kind}>)").alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
         def told(x: Column) -> Column:
@@ -73,8 +79,19 @@ def match_offsets(text: Column, pattern: str) -> Column:
 
         return let(F.split(piece, _GROUP), told)
 
+    def place(state: Column, chunk: Column) -> Column:
+        own = F.struct(state["at"].alias("base"), chunk["found"].alias("found"))
+        return F.struct((state["at"] + chunk["at"]).alias("at"), F.concat(state["found"], F.array(own)).alias("found"))
+
+    def moved(part: Column) -> Column:
+        return F.transform(part["found"], lambda m: F.struct((m["start"] + part["base"]).alias("start"), (m["end"] + part["base"]).alias("end"), m["text"].alias("text")))
+
+    def folded(all_: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / _CHUNK).cast("int"))
+        chunks = F.transform(firsts, lambda c: F.aggregate(F.slice(all_, c * _CHUNK + 1, _CHUNK), empty(one), step))
+        return F.aggregate(chunks, empty(f"struct<base: int, found: array<{one}>>"), place, lambda s: F.flatten(F.transform(s["found"], moved)))
 
-    return F.aggregate(pieces, start, step, lambda s: s["found"])
+    return let(pieces, folded)
 
 
 def overlaps(spans: Column, start: Column, end: Column) -> Column:

@@ -5,6 +5,8 @@ The tables hold no speech data: scores are made from keys by integer rules, and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -36,17 +38,15 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def korean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, kind, n, text``: counted things, prices, hours, years, distances and long prices."""
-    part, orders = table(spark, sf_dir, "part"), table(spark, sf_dir, "orders")
-    n, m = F.col("n"), F.col("o_orderkey") * 7919 % 1_000_000_007
-    kinds = [("count", part, F.col("p_partkey"), F.col("p_size"), F.concat(n, F.lit("개를 샀다"))), ("hour", part, F.col("p_partkey"), F.col("p_size"), F.concat(n, F.lit("시에 왔다"))),
-             ("price", orders, F.col("o_orderkey"), m, F.concat(n, F.lit("원"))), ("machine", part, F.col("p_partkey"), F.col("p_size"), F.concat(n, F.lit(" 대가"))),
-             ("distance", part, F.col("p_partkey"), F.col("p_size"), F.concat(n, F.lit(".5km"))), ("big", part, F.col("p_partkey"), F.col("p_size"), F.concat(n, F.lit("억원"))),
-             ("man", part, F.col("p_partkey"), F.col("p_size"), F.concat(n, F.lit("만1300명"))), ("bare", orders, F.col("o_orderkey"), m, n.cast("string"))]
-    out = None
-    for kind, rows, key, number, text in kinds:
-        own = rows.select(key.cast("long").alias("id"), F.lit(kind).alias("kind"), number.cast("long").alias("n")).withColumn("text", text)
-        out = own if out is None else out.unionByName(own)
-    return out
+    def kinds(rows: DataFrame, key: Column, number: Column, texts: dict[str, Callable[[Column], Column]]) -> DataFrame:
+        own = rows.select(key.cast("long").alias("id"), number.cast("long").alias("n"))
+        return own.select("id", "n", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), text(F.col("n")).alias("text")) for k, text in texts.items()))))
+
+    after = lambda suffix: lambda n: F.concat(n, F.lit(suffix))
+    counted = {"count": "개를 샀다", "hour": "시에 왔다", "machine": " 대가", "distance": ".5km", "big": "억원", "man": "만1300명"}
+    part = kinds(table(spark, sf_dir, "part"), F.col("p_partkey"), F.col("p_size"), {k: after(v) for k, v in counted.items()})
+    large = {"price": after("원"), "bare": lambda n: n.cast("string")}
+    return part.unionByName(kinds(table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_orderkey") * 7919 % 1_000_000_007, large))
 
 
 def fix_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
