@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,15 +25,29 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, so that later stages neither
-    repeat its work nor depend on an executor that may be lost."""
+    repeat its work nor depend on an executor that may be lost.  ``batch``: rows that a Python worker gets at
+    once, for rows that are large."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/malgeul-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        if batch:
+            spark.conf.set(ARROW_ROWS, batch)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans whose results have been written: it does so when the driver's JVM
+    collects its garbage, which a long job on a large driver may not bring about by itself."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def require(df: DataFrame, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

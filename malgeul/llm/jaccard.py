@@ -12,7 +12,7 @@
   rows that it would be compared with, so rare subsets are taken first.  Segments whose subset
   occurs nowhere else cost nothing, and a set with H + 1 of them is linked with nothing.
 * Candidates are verified exactly.  The rows that share a signature are first compared with one of
-  them, twice, and components are formed.  Rows that still share signatures with rows of other
+  them, and components are formed.  Rows that still share signatures with rows of other
   components are cut anew: an element that no other such row has makes a difference to
   all of them, so it leaves the set and lowers H by one.  A pair is then looked up only by the
   one of the two whose segments cost less.
@@ -24,14 +24,13 @@ with a probability of about 2^-64 for each pair of shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from malgeul.llm.common import materialize, require
+from malgeul.llm.common import drop_shuffles, materialize, require
 from malgeul.llm.graph import components
 
 SHINGLE = 5
@@ -43,9 +42,12 @@ SMALLEST = 4
 BROADCAST_ROWS = 1_000_000
 #: Sets that one scan compares with all others where the segments of a set don't suffice.
 BLOCK_SETS, BLOCK_ELEMENTS = 500, 4_000_000
-_MEMO = 1_000_000
+#: Digests of sets that a task remembers.
+_MEMO = 200_000
+#: Pairs of a key from which rows are compared through a pivot.
+MANY_PAIRS = 100
 #: Characters of text cut at once.
-PART = 2_000_000
+PART = 1_000_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _LOW = 0xFFFFFFFFFFFFFFFF
@@ -61,23 +63,42 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return x
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _MEMO:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+#: Bytes at word breaks; and powers of an odd number for the places of bytes in a word.
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_powers = np.ones(1, np.uint64)
 
 
-_words = _Words()
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first bytes) of the words of lowered UTF-8, a polynomial of the bytes of each."""
+    global _powers
+    data = np.frombuffer(raw, np.uint8)
+    inside = np.flatnonzero(~_SPACE[data])
+    if not len(inside):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.diff(inside, prepend=-2) != 1)
+    size = np.diff(np.append(first, len(inside)))
+    if size.max() > len(_powers):
+        _powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(size.max()), _BASE)]))
+    place = np.arange(len(inside)) - np.repeat(first, size)
+    values = (data[inside].astype(np.uint64) + np.uint64(1)) * _powers[place]
+    return _mix(np.add.reduceat(values, first), 0), inside[first]
 
 
 def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): the sorted distinct hashes of the word shingles of each text, one after the other.
     Words are runs of ``[^\\x20\\x09-\\x0D]`` with A-Z lowered; fewer than five form one shingle."""
-    words = [(t or "").encode().lower().split() for t in texts]
-    count = np.array([len(w) for w in words], np.int64)
-    w = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), np.uint64, count.sum())
+    raw = [(t or "").encode().lower() for t in texts]
+    ends = np.cumsum([len(r) + 1 for r in raw]).astype(np.int64)
+    whole, hashes, count, done = b" ".join(raw), [], np.zeros(len(raw), np.int64), 0
+    while done < len(whole):  # in pieces that end at a space, so that a very long text takes no more memory than others
+        stop = whole.find(b" ", done + PART)
+        stop = len(whole) if stop < 0 else stop
+        own, begins = word_hashes(whole[done:stop])
+        hashes.append(own)
+        count += np.bincount(np.searchsorted(ends, begins + done, "right"), minlength=len(raw))
+        done = stop
+    w = np.concatenate([np.zeros(0, np.uint64), *hashes])
     at = np.concatenate([[0], np.cumsum(count)])
     full = max(0, len(w) - SHINGLE + 1)
     h = np.zeros(len(w), np.uint64)
@@ -283,15 +304,17 @@ def signature_table(docs: DataFrame) -> DataFrame:
 def _shared(rows: DataFrame, who: str) -> DataFrame:
     """The signatures (key, who, slot) whose key more than one ``who`` has, once each, with ``n_f`` and ``n_d``, its rows of
     either kind.  A key without F rows is of no use."""
-    in_order, whole = Window.partitionBy("key").orderBy(who, "slot"), Window.partitionBy("key")
-    again = (F.lag(who).over(in_order) == F.col(who)) & (F.lag("slot").over(in_order) == F.col("slot"))
+    whole = Window.partitionBy("key")
+
+    def met(x: DataFrame) -> DataFrame:
+        ends = x.withColumn("low", F.min(who).over(whole)).withColumn("high", F.max(who).over(whole))
+        return ends.filter("low <> high").drop("low", "high")
+
+    # most keys have one ``who`` and go before rows of several tasks are made one
+    once = met(rows).distinct()
     is_d = F.shiftright("slot", _D).bitwiseAND(1)
-    counted = (
-        rows.withColumn("again", F.coalesce(again, F.lit(False))).filter("not again").drop("again")
-        .withColumn("low", F.min(who).over(whole)).withColumn("high", F.max(who).over(whole))
-        .withColumn("n_d", F.sum(is_d).over(whole)).withColumn("n_f", F.count("*").over(whole) - F.col("n_d"))
-    )
-    return counted.filter("low <> high and n_f > 0").drop("low", "high")
+    counted = once.withColumn("n_d", F.sum(is_d).over(whole)).withColumn("n_f", F.count("*").over(whole) - F.col("n_d"))
+    return counted.filter("n_f > 0")
 
 
 _GROUP = ("node", "n", "p", "label", "g", "full", "able", "h")
@@ -339,10 +362,10 @@ def _nearest(compared: DataFrame, active: DataFrame) -> DataFrame:
     return best.unionByName(own.withColumn("pivot", F.col("node")))
 
 
-def _looks(active: DataFrame, *more: str) -> DataFrame:
+def _looks(active: DataFrame) -> DataFrame:
     """What each node looks up: one row for each key and kind ``d`` of the rows to find."""
     kinds = F.concat(F.when(F.col("find_f"), F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")), F.when(F.col("find_d"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    return active.filter("find_f or find_d").select("node", "n", "p", "label", "cost", "key", *more, F.explode(kinds).alias("d"))
+    return active.filter("find_f or find_d").select("node", "n", "p", "label", "cost", "key", F.explode(kinds).alias("d"))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -390,21 +413,29 @@ def _met(left: DataFrame, right: DataFrame, columns: tuple[str, ...], more: Colu
     return x.join(y, fits & more)
 
 
-def _pairs_left(looks: DataFrame, members: DataFrame) -> DataFrame:
+def _pairs_left(looks: DataFrame, members: DataFrame, told: DataFrame) -> DataFrame:
     """The same for sets that were cut anew, each pair looked up by its cheaper row: pairs a < b, ``sure`` if they are linked.
 
-    Rows told apart by few elements from one ``pivot`` are compared by these, exactly, as they meet; only links come
-    out.  Of other rows those come out that their private elements don't keep apart."""
+    Where a key makes many pairs, rows told apart by few elements from one ``pivot`` (``told``: node, pivot, delta) are compared by
+    these, exactly, as they meet; only links come out.  Of other rows those come out that their private elements don't keep apart."""
     apart = F.col("p_x") + F.col("p_y")
     delta = F.size("delta_x") + F.size("delta_y") - 2 * F.size(F.array_intersect("delta_x", "delta_y"))
-    one = F.col("pivot_x") == F.col("pivot_y")
+    one = F.coalesce(F.col("pivot_x") == F.col("pivot_y"), F.lit(False))
     within = lambda differ: (100 + LEAST) * differ <= (100 - LEAST) * (F.col("n_x") + F.col("n_y"))
     cheaper = (F.col("cost_x") < F.col("cost_y")) | ((F.col("cost_x") == F.col("cost_y")) & (F.col("node_x") < F.col("node_y")))
     nearest = F.abs(F.size("delta_x") - F.size("delta_y"))
     # one CASE, so that arrays are compared only where sizes leave it open
-    fits = F.when(~cheaper | ~within(apart), False).when(~F.coalesce(one, F.lit(False)), True).when(~within(apart + nearest), False).otherwise(within(apart + delta))
-    met = _met(looks, members, (*_SIDE, "pivot", "delta"), fits)
-    ends = met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), F.coalesce(one, F.lit(False)).alias("sure"))
+    close = F.when(~cheaper | ~within(apart), False).when(~one, True).when(~within(apart + nearest), False).otherwise(within(apart + delta))
+    mixed = materialize(_mixed(looks, members), "mixed")
+
+    def of(rows: DataFrame, work: Column) -> DataFrame:
+        return rows.join(mixed.filter(work).select("key", "d"), ["key", "d"], "left_semi")
+
+    few, many = F.col("work") <= MANY_PAIRS, F.col("work") > MANY_PAIRS
+    plain = _met(of(looks, few), of(members, few), _SIDE, cheaper & within(apart)).select("node_x", "node_y", F.lit(False).alias("sure"))
+    wide = lambda rows: of(rows, many).join(told, "node", "left")
+    hot = _met(wide(looks), wide(members), (*_SIDE, "pivot", "delta"), close).select("node_x", "node_y", one.alias("sure"))
+    ends = plain.unionByName(hot).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), "sure")
     return ends.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
@@ -413,11 +444,12 @@ def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(named, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now")
 
 
-def _spread(looks: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows whose key and kind are met by more than one component."""
-    both = looks.select("key", "d", "label").unionByName(members.select("key", "d", "label"))
-    mixed = both.groupBy("key", "d").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows")).filter("low <> high").select("key", "d")
-    return looks.join(mixed, ["key", "d"], "left_semi"), members.join(mixed, ["key", "d"], "left_semi")
+def _mixed(looks: DataFrame, members: DataFrame) -> DataFrame:
+    """``key, d, work`` of the keys and kinds that more than one component meets: the pairs that a look-up makes there."""
+    both = looks.select("key", "d", "label", F.lit(1).alias("look")).unionByName(members.select("key", "d", "label", F.lit(0).alias("look")))
+    n, of_looks = F.count("*"), F.sum("look")
+    told = both.groupBy("key", "d").agg(F.min("label").alias("low"), F.max("label").alias("high"), (of_looks * (n - of_looks)).alias("work"))
+    return told.filter("low <> high and work > 0").select("key", "d", "work")
 
 
 def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -456,7 +488,7 @@ def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame) -> tuple
                 made = [own["node"], own["n"], pa.array(private[who[of]]), own["label"], pa.array(g[of]), pa.array(full[of]), pa.array(able[of]), pa.array(h[of]), keys, pa.array(np.concatenate([slot, more]))]
                 yield pa.RecordBatch.from_arrays(made, [*_GROUP, "key", "slot"])
 
-    made = materialize(reduced.mapInArrow(run, ", ".join(f"{c} long" for c in (*_GROUP, "key", "slot"))), "recut")
+    made = materialize(reduced.mapInArrow(run, ", ".join(f"{c} long" for c in (*_GROUP, "key", "slot"))), "recut", batch=512)
     return _grouped(_shared(made.filter("key is not null"), "node"), "node", "g"), made.filter("key is null").select("node").distinct(), told
 
 
@@ -507,10 +539,11 @@ def link(docs: DataFrame) -> DataFrame:
     classes = sets.filter("n > 0").groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in bands_))
     classes = materialize(classes, "classes")
     shared = materialize(_shared(signature_table(docs), "lo"), "shared")
+    drop_shuffles(docs.sparkSession)
     of_band = lambda c: F.when(F.col("g") == F.col("g0"), F.col(f"{c}0")).otherwise(F.col(f"{c}1")).alias(c)
     named = shared.join(classes, "lo").withColumn("g", F.shiftright("slot", _BAND))
     rows = named.select("lo", "node", "n", F.lit(0).cast("long").alias("p"), F.col("node").alias("label"), "g", *map(of_band, ("full", "able", "h")), "key", "slot", "n_f", "n_d")
-    active = materialize(_allocated(_grouped(rows, "lo", "node", "g")), "active")
+    active = materialize(_allocated(_grouped(rows, "lo", "node", "g")), "active", batch=256)
     short = classes.filter("full0 + able0 <= h0 or full1 + able1 <= h1").select("node").distinct()
 
     looks = _looks(active)
@@ -525,25 +558,22 @@ def link(docs: DataFrame) -> DataFrame:
         return materialize(scanned.join(to_node, "b").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
 
     edges = scan(short)
-    pivots = None
-    for by in (F.col("node"), F.xxhash64("node")):
-        # all rows of a key against one of them
-        leader = members.groupBy("key", "d").agg(F.min_by(F.struct(*_SIDE), by).alias("one")).select("key", "d", "one.*")
-        compared = materialize(_compared(materialize(_pairs(looks, leader), "pairs"), elements), "compared")
-        if pivots is None:
-            pivots = _nearest(compared, active)
-        found = _linked(compared)
-        edges = found if edges is None else edges.unionByName(found)
-        labels = materialize(components(edges), "labels")
-        looks, members = _spread(_relabelled(looks, labels), _relabelled(members, labels))
-        looks, members = materialize(looks, "looks"), materialize(members, "members")
-    open_ = looks.select("node", "label").unionByName(members.select("node", "label")).distinct()
-    groups, thin, told = _cut_anew(elements, open_, pivots)
-    active = materialize(_allocated(groups).join(materialize(told, "delta"), "node", "left"), "active")
-    looks = _looks(active, "pivot", "delta")
-    pairs = materialize(_pairs_left(looks, active), "pairs")
+    # all rows of a key against one of them
+    leader = members.groupBy("key", "d").agg(F.min_by(F.struct(*_SIDE), "node").alias("one")).select("key", "d", "one.*")
+    compared = materialize(_compared(materialize(_pairs(looks, leader), "pairs"), elements), "compared")
+    drop_shuffles(docs.sparkSession)
+    found = _linked(compared)
+    edges = found if edges is None else edges.unionByName(found)
+    labels = materialize(components(edges), "labels")
+    looks, members = _relabelled(looks, labels), _relabelled(members, labels)
+    mixed = materialize(_mixed(looks, members), "mixed").select("key", "d")
+    open_ = looks.join(mixed, ["key", "d"], "left_semi").select("node", "label").unionByName(members.join(mixed, ["key", "d"], "left_semi").select("node", "label")).distinct()
+    groups, thin, told = _cut_anew(elements, materialize(open_, "open"), _nearest(compared, active))
+    active = materialize(_allocated(groups), "active", batch=256)
+    pairs = materialize(_pairs_left(_looks(active), active, materialize(told, "delta")), "pairs")
     found = _linked(_compared(pairs.filter("not sure").drop("sure"), elements))
-    edges = edges.unionByName(pairs.filter("sure").select("a", "b")).unionByName(materialize(found, "links"))
+    stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    edges = stars.unionByName(pairs.filter("sure").select("a", "b")).unionByName(materialize(found, "links"))
     if (found := scan(thin)) is not None:
         edges = edges.unionByName(found)
     labels = materialize(components(edges), "labels")
