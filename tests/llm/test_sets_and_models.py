@@ -221,7 +221,7 @@ def test_toxicity_held_out(spark):
     scored = toxicity.score(docs.join(labels.filter("doc_id % 2 = 1"), "doc_id"), model)
     hit, miss, alarm, clean = (scored.filter(q).count() for q in ("toxic = 1 and grade > 0", "toxic = 1 and grade = 0", "toxic = 0 and grade > 0", "toxic = 0 and grade = 0"))
     print(hit, miss, alarm, clean)
-    assert hit / (hit + miss) > 0.85 and alarm / (alarm + clean) < 0.01
+    assert hit / (hit + miss) > 0.88 and alarm / (alarm + clean) < 0.005
 
 
 def test_toxicity_odd_rows(spark):
