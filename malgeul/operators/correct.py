@@ -37,14 +37,20 @@ def bucketed(rows: DataFrame, percentiles: Percentiles = Percentiles()) -> DataF
     return percentile_buckets(own, percentiles).drop("logprob", "avg_logprob")
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """One row for each utterance and text, with ``row_key``, so that spans need not carry the text."""
+    return rows.withColumn("row_key", F.xxhash64("speaker_id", "sentence_id", "text_raw")).dropDuplicates(["utt_id", "row_key"])
+
+
 def requests(rows: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """A row for each span, or one for the whole sentence (tag CANON) where there is none."""
+    """A row for each span, or one for the whole sentence (tag CANON) where there is none, without the text."""
     whole = F.array(F.struct(F.lit(0).alias("start"), F.length("text_raw").alias("end"), F.col("text_raw").alias("text"), F.lit("CANON").alias("tag"), F.lit("").alias("left"), F.lit("").alias("right")))
-    spans = rows.withColumn("spans", find_spans(F.col("text_raw"), context))
-    one = spans.withColumn("n_spans", F.size("spans")).withColumn("span", F.explode(F.when(F.size("spans") > 0, F.col("spans")).otherwise(whole)))
+    kept = [c for c in ("utt_id", "row_key", "bucket") if c in rows.columns]
+    spans = rows.select(*kept, "text_raw", find_spans(F.col("text_raw"), context).alias("spans"))
+    one = spans.select(*kept, F.size("spans").alias("n_spans"), F.explode(F.when(F.size("spans") > 0, F.col("spans")).otherwise(whole)).alias("span"))
     task = F.when(F.col("span.tag") == "CANON", "STW_CANON").when(F.col("span.tag") == "U1", "STW_URL").otherwise("STW_SPAN")
-    return one.drop("spans").select(
-        *rows.columns, "n_spans", F.col("span.start").alias("span_start"), F.col("span.end").alias("span_end"), F.col("span.text").alias("span"),
+    return one.select(
+        *kept, "n_spans", F.col("span.start").alias("span_start"), F.col("span.end").alias("span_end"), F.col("span.text").alias("span"),
         F.col("span.tag").alias("tag"), F.col("span.left").alias("left"), F.col("span.right").alias("right"), task.alias("task"),
     )
 
@@ -61,37 +67,39 @@ def decided(asked: DataFrame, provider: Provider = unchanged, guards: Guards = G
     return rows.withColumn("action", F.when(F.col("tag") == "CANON", sentence).otherwise(span))
 
 
-def outputs(rows: DataFrame, k_candidates: int = 5, context: int = CONTEXT) -> DataFrame:
-    """A row for each utterance: decision, text_avail (null if anything needs review), issues and audit."""
+def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: int = CONTEXT) -> DataFrame:
+    """A row for each of ``base``: decision, text_avail (null if anything needs review), issues and audit, from its decided ``rows``."""
     marked = F.when(F.col("tag") == "CANON", F.concat(F.lit("⟦"), F.col("span"), F.lit("⟧"))).otherwise(mark(F.col("left"), F.col("span"), F.col("right")))
-    issue = F.struct(
-        "utt_id", "speaker_id", "sentence_id", "bucket", "tag", "span_start", "span_end", F.col("span").alias("raw_span"), F.col("text_raw").alias("context_full"),
-        marked.alias("context_marked"), mark_safe(marked).alias("context_marked_safe"), "candidates", "recommended", F.col("recommended").alias("user_fix"), "meta",
-    )
     fixed = F.col("action") == "AUTO_FIX"
-    place = F.struct("span_start", "span_end")
-    gathered = rows.groupBy("utt_id", "speaker_id", "sentence_id", "text_raw", "bucket").agg(
-        F.collect_list(F.when(~fixed, F.struct(place.alias("place"), issue.alias("issue")))).alias("issues"),
+    own = F.struct("span_start", "span_end", "tag", "span", marked.alias("marked"), "candidates", "recommended")
+    gathered = rows.groupBy("utt_id", "row_key").agg(
+        F.collect_list(F.when(~fixed, own)).alias("found"),
         F.collect_list(F.when(fixed, F.struct(F.col("span_start").alias("start"), F.col("span_end").alias("end"), F.col("recommended").alias("new")))).alias("fixes"),
         F.max("n_spans").alias("n_spans"),
     )
-    whole, clear = F.col("n_spans") == 0, F.size("issues") == 0
+    met = base.join(gathered, ["utt_id", "row_key"])
+    whole, clear = F.col("n_spans") == 0, F.size("found") == 0
     audit = F.struct(
         F.lit(VERSION).alias("pipeline_version"), F.when(whole, "STW_CANON").alias("mode"), F.when(~whole, F.lit(k_candidates)).alias("k_candidates"),
         F.when(~whole, F.lit(context)).alias("context_len"), F.when(~whole, F.col("n_spans")).alias("spans_detected"), F.when(~whole, F.size("fixes")).alias("auto_fixed"),
     )
-    by_place = lambda a, b: F.when(a["place"]["span_start"] != b["place"]["span_start"], a["place"]["span_start"] - b["place"]["span_start"]).otherwise(b["place"]["span_end"] - a["place"]["span_end"])
-    return gathered.select(
+    by_place = lambda a, b: F.when(a["span_start"] != b["span_start"], a["span_start"] - b["span_start"]).otherwise(b["span_end"] - a["span_end"])
+    issue = lambda x: F.struct(
+        "utt_id", "speaker_id", "sentence_id", "bucket", x["tag"].alias("tag"), x["span_start"].alias("span_start"), x["span_end"].alias("span_end"), x["span"].alias("raw_span"),
+        F.col("text_raw").alias("context_full"), x["marked"].alias("context_marked"), mark_safe(x["marked"]).alias("context_marked_safe"), x["candidates"].alias("candidates"),
+        x["recommended"].alias("recommended"), x["recommended"].alias("user_fix"), "meta",
+    )
+    return met.select(
         "utt_id", "speaker_id", "sentence_id", "text_raw", "bucket", F.when(clear, "AUTO_FIX").otherwise("NEEDS_REVIEW").alias("decision"),
         F.when(clear, apply_fixes(F.col("text_raw"), F.col("fixes"))).alias("text_avail"),
-        F.transform(F.array_sort("issues", by_place), lambda x: x["issue"]).alias("issues"), audit.alias("audit"),
+        F.transform(F.array_sort("found", by_place), issue).alias("issues"), audit.alias("audit"),
     )
 
 
 def correct(rows: DataFrame, provider: Provider = unchanged, guards: Guards = Guards(), percentiles: Percentiles = Percentiles(), k_candidates: int = 5, context: int = CONTEXT) -> DataFrame:
     """Recogniser rows to outputs.  Rows that share an id, sentence and text become one."""
-    asked = requests(bucketed(records(rows), percentiles), context)
-    return outputs(decided(asked, provider, guards), k_candidates, context)
+    base = keyed(bucketed(records(rows), percentiles))
+    return outputs(decided(requests(base, context), provider, guards), base, k_candidates, context)
 
 
 def issues_of(made: DataFrame) -> DataFrame:
