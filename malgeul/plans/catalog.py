@@ -294,7 +294,7 @@ def w1_risk_buckets(spark, sf):
 
 @query
 def a5_weighted_means(spark, sf):
-    rows = seg.weighted_utterances(segments(spark, sf), table(spark, sf, "documents").filter("doc_id < 150").select(F.col("doc_id").cast("string").alias("utt_id")))
+    rows = seg.weighted_utterances(segments(spark, sf), table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("utt_id")))
     return rows.select("utt_id", F.length("text_raw").alias("chars"), *(F.round(c, 9).alias(c) for c in ("avg_logprob", "avg_no_speech_prob", "compression_ratio")), "temperature_fallback")
 
 
