@@ -244,7 +244,7 @@ def j2_original_texts(spark, sf):
 
 @query
 def j5_overlaps(spark, sf):
-    rows = table(spark, sf, "lineitem").filter("l_linenumber <= 3").select("l_orderkey", F.col("l_linenumber").alias("no"), F.col("l_quantity").cast("int").alias("start"), (F.col("l_quantity") + F.col("l_linenumber") * 3).cast("int").alias("end"))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("no"), F.col("l_quantity").cast("int").alias("start"), (F.col("l_quantity") + F.col("l_linenumber") * 3).cast("int").alias("end"))
     taken = rows.groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("no") > 1, F.struct("start", "end"))).alias("taken"), F.min(F.struct("no", "start", "end")).alias("one"))
     return taken.select("l_orderkey", overlaps(F.col("taken"), F.col("one.start"), F.col("one.end")).alias("hit"))
 

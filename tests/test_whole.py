@@ -15,3 +15,10 @@ def test_weighted_means_of_all_utterances(spark):
     """sf0.1 has conversations from 150 on, sf0.001 documents without one."""
     for sf in ("/root/testdata/sf0.1", SF):
         same(spark, connect(sf), catalog.a5_weighted_means, whole("a5_weighted_means", " WHERE doc_id < 150"), sf)
+
+
+def test_overlaps_with_all_lines(spark, tmp_path):
+    same(spark, connect(SF), catalog.j5_overlaps, whole("j5_overlaps", " WHERE l_linenumber <= 3"), SF)
+    lines = [(1, 1, 10.0), (1, 2, 30.0), (1, 5, 9.0), (2, 1, 10.0), (2, 7, 20.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert dict(map(tuple, catalog.j5_overlaps(spark, str(tmp_path)).collect())) == {1: True, 2: False}
