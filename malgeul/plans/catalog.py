@@ -120,13 +120,12 @@ def s9_results_round_trip(spark, sf):
 
 @query
 def s14_bucket_files(spark, sf):
-    from malgeul.sources.io import read_buckets, write_buckets
+    from malgeul.sources.io import read_written_buckets, write_buckets
 
     path = scratch(spark, "buckets")
     rows = _triaged(spark, sf).select(F.col("language").alias("split"), "speaker_id", "sentence_id", "text_raw", "bucket", "reason", "duration", "avg_logprob")
     write_buckets(rows, path)
-    named = [f"{path}/split={s}/bucket={b}" for s in ("fr", "none") for b in "ABC"]
-    return review.bucket_counts(review.merge_buckets([f.withColumn("bucket", F.lit(b)) for f, b in zip(read_buckets(spark, named, lines=True), "ABC", strict=False)]))
+    return review.bucket_counts(review.merge_buckets([read_written_buckets(spark, path)]))
 
 
 @query

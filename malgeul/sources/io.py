@@ -159,6 +159,11 @@ def read_buckets(spark: SparkSession, paths: list[str], lines: bool = False) ->
     return [read_bucket(spark, p, lines) for p in paths if _exists(spark, p)]
 
 
+def read_written_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """All that ``write_buckets`` wrote; ``split`` and ``bucket`` are those of each file's path."""
+    return spark.read.schema(f"split STRING, {schemas.BUCKET_REVIEW}").json(path)
+
+
 def write_shards(rows: DataFrame, path: str, size: int = 200) -> None:
     """JSON lines by ranges of ``idx``; a rerun adds the rows that are not there."""
     from malgeul.operators.segments import shard_of
