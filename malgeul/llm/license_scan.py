@@ -24,7 +24,8 @@ SPELLINGS = {
 # Equal forms of more than one word, or of a word that punctuation cuts.
 PHRASES = {"copyright owner": "copyright holder", "sub license": "sublicense", "sub licence": "sublicense", "non infringement": "noninfringement", "per cent": "percent", "https": "http"}
 
-COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:copyright\b|\(c\)|©)[^\n]*$"
+# Not a body line that a wrap lets begin with "copyright"; texts are in lower case here.
+COPYRIGHT_LINE = r"(?m)^[ \t#*/;%-]*(?:copyright\b(?![ \t]+(?:holders?|owners?|notices?|laws?|licen[cs]es?|and[ \t]+(?:this|permission|related))\b)|\(c\)|©)[^\n]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 # Texts and notices of public licences.
