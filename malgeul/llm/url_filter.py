@@ -43,7 +43,8 @@ def intervals(entries: DataFrame) -> DataFrame:
     Of entries with one date ``add`` holds; of several, the category that sorts first.  Entries without a pattern or
     date and with another action are ignored."""
     require(entries, "pattern", "dated", "action", "category")
-    known = entries.select(F.lower("pattern").alias("pattern"), "dated", "action", "category").filter("pattern is not null and dated is not null and action in ('add', 'remove')")
+    lowered = F.concat(F.lower(F.regexp_extract("pattern", "^[^/]*", 0)), F.regexp_extract("pattern", "(?s)/.*", 0))  # hosts have no case, folders do
+    known = entries.select(lowered.alias("pattern"), "dated", "action", "category").filter("pattern is not null and dated is not null and action in ('add', 'remove')")
     daily = known.groupBy("pattern", "dated").agg(
         F.max((F.col("action") == "add").cast("int")).alias("listed"), F.min(F.when(F.col("action") == "add", F.col("category"))).alias("category")
     )
