@@ -1,24 +1,29 @@
 """Exact Jaccard self-join of word shingles (80 %) by pigeonhole over a partition of the universe.
 
-* Rows with equal sets form a class; only classes are joined.
+* Rows with equal sets form a class, named by a 64-bit digest of its set; only classes are joined, and ids of rows
+  come in when the components are named.
 * The sizes 2^g to 2^(g+1) - 1 form band g.  A pair belongs to the band of its smaller set; a
   set takes part in its own band and, if it is not too large, in the one below.
 * Band g cuts the universe of shingle hashes into m(g) segments.  The subset of a set in a segment
   gives a signature (kind F); in the first d(g) segments, each subset without one element gives one
   more (kind D).
+* Signatures travel as packed arrays, one for each bucket of keys and about a million signatures; each bucket finds the keys that more than one
+  class has, which few are, and only these become rows.  A key that many classes of one such array have goes to its bucket as
+  a summary, and its other signatures are dealt to all buckets.
 * Sets linked in a band differ in at most H elements, H known from the size.  A set may spend
   t in {-1, 0, 1} on each segment, the sum of t + 1 being H + 1: then a linked set equals it in some
   segment of t = 0, or differs by at most one element in some segment of t = 1.  A segment costs the
   rows that it would be compared with, so rare subsets are taken first.  Segments whose subset
   occurs nowhere else cost nothing, and a set with H + 1 of them is linked with nothing.
 * Candidates are verified exactly.  The rows that share a signature are first compared with one of
-  them, and components are formed.  Rows that still share signatures with rows of other
+  them, that whose subsets most sets have, as those of an original among its copies, and components are formed.  Rows that still share signatures with rows of other
   components are cut anew: an element that no other such row has makes a difference to
   all of them, so it leaves the set and lowers H by one.  A pair is then looked up only by the
   one of the two whose segments cost less.
+* A set with too few segments to spend H + 1 on is joined by its elements: a linked set has one of any H + 1 of them.
 
 Hashes of shingles have 64 bits; two shingles of one pair of documents are confused
-with a probability of about 2^-64 for each pair of shingles.
+with a probability of about 2^-64 for each pair of shingles, and two classes with one of about n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -28,22 +33,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from malgeul.llm.common import drop_shuffles, materialize, require
-from malgeul.llm.graph import components
+from malgeul.llm.common import discard, materialize, require, unused
+from malgeul.llm.graph import roots
 
 SHINGLE = 5
 #: Similarity in hundredths.
 LEAST = 80
 #: Sets of fewer elements are linked only with equal sets, as 3 / 4 is under 80 %.
 SMALLEST = 4
-#: Classes whose ids are broadcast to pick their texts; more are joined by a shuffle.
+#: Ids or elements that are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Sets that one scan compares with all others where the segments of a set don't suffice.
-BLOCK_SETS, BLOCK_ELEMENTS = 500, 4_000_000
-#: Digests of sets that a task remembers.
-_MEMO = 200_000
+#: Signatures of a packed array, and of a bucket, about; classes of one array that share a key from which it counts as common.
+PACK, COMMON_KEY = 1_000_000, 64
+#: Elements for which a table of sets gets one more file.
+FILE_ELEMENTS = 4_000_000
 #: Pairs of a key from which rows are compared through a pivot.
 MANY_PAIRS = 100
 #: Characters of text cut at once.
@@ -241,24 +247,24 @@ def allocate(slots: np.ndarray, n_f: np.ndarray, n_d: np.ndarray, full: int, abl
 
 # ---- tables ----
 
-_NONE = -(2**63)  # stands for a null doc_id
 
+def _digests(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The names of sets."""
+    return np.array([xxhash.xxh3_64_intdigest(h[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)], np.uint64).view(np.int64)
 
-def _texts(docs: DataFrame) -> DataFrame:
-    require(docs, "doc_id", "text")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("doc_id"), "text")
+
+_BANDS = [f"{c}{i}" for i in (0, 1) for c in ("g", "full", "able", "h")]
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, lo, hi`` (size and digest of the set) and for its one or two bands the units and H."""
+    """``doc_id, n, lo`` (size and name of the set) and for its one or two bands the units and H."""
+    require(docs, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _parts(batch["text"]):
                 h, at = shingle_sets(texts)
                 sizes = np.diff(at)
-                digests = b"".join(xxhash.xxh3_128_digest(h[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True))
-                lo, hi = np.frombuffer(digests, np.int64).reshape(-1, 2).T
                 who, g = taken_bands(sizes.tolist())
                 full, able = Signatures(h, at, who, g).units()
                 second = np.concatenate([[False], who[1:] == who[:-1]]) if len(who) else np.zeros(0, bool)
@@ -270,59 +276,159 @@ def set_table(docs: DataFrame) -> DataFrame:
                         column = np.zeros(len(texts), np.int64)
                         column[who[some]] = np.array(values, np.int64)[some]
                         columns.append(pa.array(column, mask=none))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), pa.array(sizes), pa.array(lo), pa.array(hi), *columns], names)
-
-    names = ["doc_id", "n", "lo", "hi", *(f"{c}{i}" for i in (0, 1) for c in ("g", "full", "able", "h"))]
-    return _texts(docs).mapInArrow(run, ", ".join(f"{c} long" for c in names))
-
-
-def signature_table(docs: DataFrame) -> DataFrame:
-    """``key, lo, slot`` of every set; sets seen before in the same task are not repeated."""
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), pa.array(sizes), pa.array(_digests(h, at)), *columns], ["doc_id", "n", "lo", *_BANDS])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in ("n", "lo", *_BANDS)))
+
+
+# ---- shared signatures ----
+
+#: Of a key, its bucket and the bits that tell keys of one bucket apart; and the segment bits of a short slot.
+_KEY_BITS, _SHORT = 40, 24
+_PACKED = "bucket int, sure boolean, keys binary, whose binary, slots binary, sets binary, n_f binary, n_d binary"
+
+
+def _short_slots(slot: np.ndarray) -> bytes:
+    seg = slot & ((1 << _D) - 1)
+    if len(seg) and seg.max() >> _SHORT:
+        return slot.tobytes()
+    return (slot >> _D << _SHORT | seg).astype(np.uint32).tobytes()
+
+
+def _long_slots(raw: bytes, n: int) -> np.ndarray:
+    if len(raw) == 8 * n:
+        return np.frombuffer(raw, np.int64)
+    slot = np.frombuffer(raw, np.uint32).astype(np.int64)
+    return slot >> _SHORT << _D | slot & ((1 << _SHORT) - 1)
+
+
+def _low_bytes(values: np.ndarray, n: int) -> bytes:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+
+
+def _pack(key: np.ndarray, whose: np.ndarray, slot: np.ndarray, los: np.ndarray, buckets: int, classes: int) -> pa.RecordBatch:
+    """Signatures of distinct sets ``los`` as a row for each bucket: what the bucket groups, what it must know of common
+    keys, and signatures of common keys, dealt to it, that are known to be shared."""
+    order = np.argsort(key.view(np.uint64))
+    key, whose, slot = key.view(np.uint64)[order], whose[order], slot[order]
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    times = np.diff(np.append(first, len(key)))
+    common = np.repeat(times > COMMON_KEY, times)
+    is_d = slot >> _D & 1
+    n_d = np.repeat(np.add.reduceat(is_d, first), times)
+    n_f = np.repeat(times, times) - n_d
+    nth = np.arange(len(key)) - np.repeat(first, times)
+    rows: list[tuple] = []
+
+    def put(some: np.ndarray, to: np.ndarray, sure: bool, counts: tuple | None) -> None:
+        at = np.flatnonzero(some)
+        at = at[np.argsort(to[at], kind="stable")]
+        cuts = np.flatnonzero(np.concatenate([[True], to[at][1:] != to[at][:-1]])) if len(at) else at
+        for a, b in zip(cuts, np.append(cuts[1:], len(at)), strict=True):
+            own = at[a:b]
+            sets, place = np.unique(whose[own], return_inverse=True)
+            keys = _low_bytes(bucket[own] << _KEY_BITS | (key[own] & np.uint64((1 << _KEY_BITS) - 1)).view(np.int64), 8 if sure else _KEY_BITS // 8)
+            told = [c[own].astype(np.uint32).tobytes() if counts else b"" for c in counts or (own, own)]
+            rows.append((int(to[own[0]]), sure, keys, place.astype(np.uint16).tobytes(), _short_slots(slot[own]), los[sets].tobytes(), *told))
+
+    put(~common, bucket, False, None)
+    if common.any():
+        whole = nth == 0
+        put(common & (nth < 2), bucket, False, (np.where(whole, n_f, 0), np.where(whole, n_d, 0)))
+        scale = max(1.0, classes / max(1, len(los)))
+        estimate = [np.minimum(n * scale, 2**32 - 1) for n in (n_f, n_d)]
+        put(common & (nth >= 2), np.arange(len(key)) % buckets, True, tuple(estimate))
+    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 6]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], [c.split()[0] for c in _PACKED.split(", ")])
+
+
+def signature_arrays(docs: DataFrame, buckets: int, classes: int) -> DataFrame:
+    """The signatures of all sets, packed; sets of one array are distinct."""
+    assert buckets < 1 << 63 - _KEY_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        held: list[tuple[np.ndarray, ...]] = []
+        seen: dict[int, int] = {}
+        size = 0
         for batch in batches:
             for _, texts in _parts(batch["text"]):
                 h, at = shingle_sets(texts)
-                fresh, los = [], []
-                for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
-                    digest = xxhash.xxh3_128_digest(h[a:b].tobytes())
-                    if digest not in seen:
-                        if len(seen) >= _MEMO:
-                            seen.clear()
-                        seen.add(digest)
+                fresh = []
+                for i, lo in enumerate(_digests(h, at).tolist()):
+                    if lo not in seen:
+                        seen[lo] = len(seen)
                         fresh.append(i)
-                        los.append(digest[:8])
-                lo = np.frombuffer(b"".join(los), np.int64)
                 place, g = taken_bands(np.diff(at)[fresh].tolist())
                 key, slot, part = Signatures(h, at, np.array(fresh, np.int64)[place], g).rows()
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo[place][part]), pa.array(slot)], ["key", "lo", "slot"])
-
-    return _texts(docs).select("text").mapInArrow(run, "key long, lo long, slot long")
-
-
-def _shared(rows: DataFrame, who: str) -> DataFrame:
-    """The signatures (key, who, slot) whose key more than one ``who`` has, once each, with ``n_f`` and ``n_d``, its rows of
-    either kind.  A key without F rows is of no use."""
-    whole = Window.partitionBy("key")
-
-    def met(x: DataFrame) -> DataFrame:
-        ends = x.withColumn("low", F.min(who).over(whole)).withColumn("high", F.max(who).over(whole))
-        return ends.filter("low <> high").drop("low", "high")
-
-    # most keys have one ``who`` and go before rows of several tasks are made one
-    once = met(rows).distinct()
-    is_d = F.shiftright("slot", _D).bitwiseAND(1)
-    counted = once.withColumn("n_d", F.sum(is_d).over(whole)).withColumn("n_f", F.count("*").over(whole) - F.col("n_d"))
-    return counted.filter("n_f > 0")
-
+                held.append((key, (place + len(seen) - len(fresh))[part], slot))
+                size += len(key)
+                if size >= PACK or len(seen) > 50_000:
+                    yield packed(held, seen)
+                    held, seen, size = [], {}, 0
+        if size:
+            yield packed(held, seen)
+
+    def packed(held: list, seen: dict) -> pa.RecordBatch:
+        return _pack(*(np.concatenate(c) for c in zip(*held, strict=True)), np.fromiter(seen, np.int64, len(seen)), buckets, classes)
+
+    return docs.select("text").mapInArrow(run, _PACKED)
+
+
+def _shared_of(group: pa.Table) -> pa.Table:
+    """Of the arrays of one bucket the signatures (key, node, slot) whose key more than one set has, with ``n_f`` and ``n_d``, its
+    rows of either kind.  A key without F rows is of no use."""
+    kinds: dict[bool, list] = {False: [], True: []}
+    for r in group.to_pylist():
+        n = len(r["whose"]) // 2
+        raw = np.zeros((n, 8), np.uint8)
+        raw[:, : len(r["keys"]) // n] = np.frombuffer(r["keys"], np.uint8).reshape(n, -1)
+        key = raw.view(np.int64).ravel()
+        if not r["sure"]:
+            key = key & ((1 << _KEY_BITS) - 1) | r["bucket"] << _KEY_BITS
+        slot = _long_slots(r["slots"], n)
+        d = slot >> _D & 1
+        counts = [np.frombuffer(r[c], np.uint32).astype(np.int64) for c in ("n_f", "n_d")] if r["n_f"] else [1 - d, d]
+        kinds[r["sure"]].append((key, np.frombuffer(r["sets"], np.int64)[np.frombuffer(r["whose"], np.uint16)], slot, *counts, np.full(n, bool(r["n_f"]))))
+    none = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
+    grouped, sure = ([np.concatenate(c) for c in zip(none, *kinds[k], strict=True)] for k in (False, True))
+    if len(grouped[0]):
+        order = np.argsort(grouped[0], kind="stable")
+        key, lo = grouped[0][order], grouped[1][order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        met = np.minimum.reduceat(lo, first) != np.maximum.reduceat(lo, first)
+        order = order[np.repeat(met, np.diff(np.append(first, len(key))))]
+        grouped = [c[order] for c in grouped]
+    if len(grouped[0]):
+        # a set that several arrays have counts once, but for the counts of common keys
+        order = np.lexsort((grouped[5], grouped[2], grouped[1], grouped[0]))
+        key, lo, slot, f, d, summed = (c[order] for c in grouped)
+        again = np.concatenate([[False], (key[1:] == key[:-1]) & (lo[1:] == lo[:-1]) & (slot[1:] == slot[:-1])])
+        f, d = (np.where(again & ~summed, 0, x) for x in (f, d))
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        times = np.diff(np.append(first, len(key)))
+        f, d = (np.repeat(np.add.reduceat(x, first), times) for x in (f, d))
+        use = ~again & (f > 0)
+        grouped = [c[use] for c in (key, lo, slot, f, d)]
+    columns = [np.concatenate([a, b]) for a, b in zip(grouped[:5], sure[:5], strict=True)]
+    return pa.table([pa.array(c, pa.int64()) for c in columns], ["key", "node", "slot", "n_f", "n_d"])
+
+
+def shared_signatures(docs: DataFrame, buckets: int, classes: int) -> DataFrame:
+    """``key, node, slot, n_f, n_d`` of the signatures that several sets have."""
+    return signature_arrays(docs, buckets, classes).groupBy("bucket").applyInArrow(_shared_of, "key long, node long, slot long, n_f long, n_d long")
+
+
+# ---- allocation ----
 
 _GROUP = ("node", "n", "p", "label", "g", "full", "able", "h")
 
 
 def _allocated(groups: DataFrame) -> DataFrame:
     """The signatures of the sets that may be linked, ``node, n, p, label, key, d``, with what they look up
-    (``find_f``, ``find_d``) and the cost of the set.  ``groups`` has a row for each set and band with its shared signatures."""
+    (``find_f``, ``find_d``), the cost of the set, and its ``rank``, the lower the more sets have its subsets.  ``groups`` has a row for
+    each set and band with its shared signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -337,83 +443,124 @@ def _allocated(groups: DataFrame) -> DataFrame:
                     own = slice(at[i], at[i + 1])
                     told = allocate(slot[own], n_f[own], n_d[own], int(full[i]), int(able[i]), int(h[i]))
                     if told is not None:
-                        out.append((key[own], (slot[own] >> _D & 1).astype(bool), told[0], told[1], np.full(len(told[0]), told[2])))
+                        d = (slot[own] >> _D & 1).astype(bool)
+                        k = len(d)
+                        out.append((key[own], d, told[0], told[1], np.full(k, told[2]), np.full(k, -n_f[own][~d].sum())))
                         index.append(np.full(len(told[0]), i))
                 if out:
                     own = batch.select(names[:4]).take(pa.array(np.concatenate(index)))
                     yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(np.concatenate(c)) for c in zip(*out, strict=True))], names)
 
-    names = ["node", "n", "p", "label", "key", "d", "find_f", "find_d", "cost"]
-    return groups.select(*_GROUP, "rows").mapInArrow(run, "node long, n long, p long, label long, key long, d boolean, find_f boolean, find_d boolean, cost long")
+    names = ["node", "n", "p", "label", "key", "d", "find_f", "find_d", "cost", "rank"]
+    return groups.select(*_GROUP, "rows").mapInArrow(run, "node long, n long, p long, label long, key long, d boolean, find_f boolean, find_d boolean, cost long, rank long")
 
 
-def _grouped(rows: DataFrame, *by: str) -> DataFrame:
+def _grouped(rows: DataFrame) -> DataFrame:
     own = F.collect_list(F.struct("slot", "key", "n_f", "n_d")).alias("rows")
-    return rows.groupBy(*by).agg(*(F.first(c).alias(c) for c in _GROUP if c not in by), own)
+    return rows.groupBy("node", "g").agg(*(F.first(c).alias(c) for c in _GROUP if c not in ("node", "g")), own)
+
+
+# ---- candidates ----
+
+_SIDE = ("node", "n", "p", "label", "cost")
 
 
-def _nearest(compared: DataFrame, active: DataFrame) -> DataFrame:
-    """``node, pivot``: the first row of one of its keys that shares most with it, if that is half of its set; rows
-    that are such a row are their own pivot."""
-    sizes = active.select(F.col("node").alias("b"), "n").distinct()
-    best = compared.join(sizes, "b").filter(2 * F.col("same") >= F.col("n")).groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("pivot"))
-    best = best.select(F.col("b").alias("node"), "pivot")
-    own = best.select(F.col("pivot").alias("node")).distinct().join(best.select("node"), "node", "left_anti")
-    return best.unionByName(own.withColumn("pivot", F.col("node")))
+def _may_link(n: Column, m: Column) -> Column:
+    return 100 * F.least(n, m) >= LEAST * F.greatest(n, m)
 
 
-def _looks(active: DataFrame) -> DataFrame:
-    """What each node looks up: one row for each key and kind ``d`` of the rows to find."""
-    kinds = F.concat(F.when(F.col("find_f"), F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")), F.when(F.col("find_d"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    return active.filter("find_f or find_d").select("node", "n", "p", "label", "cost", "key", F.explode(kinds).alias("d"))
+def _pairs_with_one(active: DataFrame, parts: int) -> DataFrame:
+    """Distinct pairs (a, b) of rows ``b`` that look a key up and the row ``a`` of least rank of either kind that has it."""
+    asks = F.col("find_f") | F.col("find_d")
+    of = lambda kind: F.min(F.when(kind, F.struct("rank", "node", "n")))
+    least = active.groupBy("key").agg(of(~F.col("d")).alias("f"), of(F.col("d")).alias("e"), F.bool_or(asks).alias("asked"))
+    least = materialize(least.filter("asked").drop("asked"), "least", parts=parts)
+    both = F.array(F.when(F.col("find_f"), F.col("f")), F.when(F.col("find_d"), F.col("e")))
+    met = active.filter(asks).join(least, "key").select("node", "n", F.explode(both).alias("one"))
+    met = met.filter((F.col("one.node") != F.col("node")) & _may_link(F.col("n"), F.col("one.n")))
+    return met.select(F.col("one.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, elements`` of the given nodes, made anew from their texts."""
+def _open(rows: DataFrame, parts: int) -> DataFrame:
+    """``key, open_f, open_d, work_f, work_d`` of the keys whose rows of a kind and look-ups of these belong to more than one
+    component; the work is the pairs that they make."""
+    told = []
+    for name, kind, find in (("f", ~F.col("d"), F.col("find_f")), ("d", F.col("d"), F.col("find_d"))):
+        label, work = F.when(kind | find, F.col("label")), F.count_if(kind) * F.count_if(find)
+        told += [F.coalesce((F.min(label) != F.max(label)) & (work > 0), F.lit(False)).alias(f"open_{name}"), work.alias(f"work_{name}")]
+    return materialize(rows.groupBy("key").agg(*told).filter("open_f or open_d"), "open", parts=parts)
+
+
+def _left_open(active: DataFrame, labels: DataFrame, parts: int) -> DataFrame:
+    """``node, label`` of the rows that still meet rows of other components."""
+    labelled = _relabelled(active, labels)
+    keys = _open(labelled, parts)
+    part = (F.col("open_f") & (~F.col("d") | F.col("find_f"))) | (F.col("open_d") & (F.col("d") | F.col("find_d")))
+    nodes = active.join(keys, "key").filter(part).select("node").distinct()
+    return _relabelled(nodes.withColumn("label", F.col("node")), labels)
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    named = labels.withColumnRenamed("label", "now")
+    return rows.join(named, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now")
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame, parts: int) -> DataFrame:
+    """``node, elements`` of the sets of rows whose doc_id is among ``ids(doc_id)``, made anew from their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in _parts(batch["text"]):
+            for _, texts in _parts(batch["text"]):
                 h, at = shingle_sets(texts)
-                made = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), made], ["node", "elements"])
-
-    wanted = nodes.select(F.col("node").alias("doc_id"))
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    picked = _texts(docs).join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    return picked.mapInArrow(run, "node long, elements array<long>")
+                yield pa.RecordBatch.from_arrays([pa.array(_digests(h, at)), pa.ListArray.from_arrays(at.astype(np.int32), pa.array(h.view(np.int64)))], ["node", "elements"])
 
-
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, same, linked``: elements that the pairs share."""
-    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("same", F.size(F.array_intersect("x", "y")))
-    return both.select("a", "b", "same", (100 * F.col("same") >= LEAST * (F.size("x") + F.size("y") - F.col("same"))).alias("linked"))
+    ids = materialize(ids.select(F.col("doc_id").alias("wanted")).distinct(), "ids", parts=parts)
+    few = ids.count() <= BROADCAST_ROWS
+    picked = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    made = materialize(picked.select("text").mapInArrow(run, "node long, elements array<long>"), "elements", parts=parts)
+    discard(ids)
+    counts = made.agg(F.count("*"), F.count_distinct("node")).first()
+    if counts[0] == counts[1]:
+        return made
+    once = materialize(made.dropDuplicates(["node"]), "elements", parts=parts)  # rows that share an id and a set
+    discard(made)
+    return once
 
 
-def _linked(compared: DataFrame) -> DataFrame:
-    return compared.filter("linked").select("a", "b").distinct()
+def _some(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The sets of ``nodes(node)`` alone, so that no others are shuffled, if these are few."""
+    nodes = nodes.distinct()
+    few = nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return sets.join(F.broadcast(nodes), "node", "left_semi") if few else sets
 
 
-_SIDE = ("node", "n", "p", "label", "cost")
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, n, same, linked``: elements of ``b`` and those that the pairs share."""
+    left, right = (_some(sets, pairs.select(F.col(c).alias("node"))) for c in "ab")
+    left = left.select(F.col("node").alias("a"), F.col("elements").alias("x"))
+    right = right.select(F.col("node").alias("b"), F.col("elements").alias("y"))
+    both = pairs.join(right, "b").join(left, "a").withColumn("same", F.size(F.array_intersect("x", "y")))
+    return both.select("a", "b", F.size("y").alias("n"), "same", (100 * F.col("same") >= LEAST * (F.size("x") + F.size("y") - F.col("same"))).alias("linked"))
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of rows that meet in a key and kind, may be linked by size and aren't connected yet."""
-    met = _met(left, right, _SIDE, F.lit(True))
-    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+def _pivots(compared: DataFrame, parts: int) -> DataFrame:
+    """``node, pivot``: rows that share half of their sets with a row that they were compared with form groups, and the row that most
+    of a group were compared with is the pivot of all of them."""
+    near = compared.filter(2 * F.col("same") >= F.col("n"))
+    groups = roots(near.select("a", "b"), parts)
+    votes = near.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("votes")).join(groups, "node")
+    most = materialize(votes.groupBy("label").agg(F.max_by("node", F.struct("votes", "node")).alias("pivot")), "pivots", parts=parts)
+    return groups.join(most, "label").select("node", "pivot")
 
 
 def _met(left: DataFrame, right: DataFrame, columns: tuple[str, ...], more: Column) -> DataFrame:
     x = left.select("key", "d", *(F.col(c).alias(f"{c}_x") for c in columns))
     y = right.select(F.col("key").alias("key_y"), F.col("d").alias("d_y"), *(F.col(c).alias(f"{c}_y") for c in columns))
     fits = (F.col("key") == F.col("key_y")) & (F.col("d") == F.col("d_y")) & (F.col("label_x") != F.col("label_y"))
-    fits &= 100 * F.least("n_x", "n_y") >= LEAST * F.greatest("n_x", "n_y")
-    return x.join(y, fits & more)
+    return x.join(y, fits & _may_link(F.col("n_x"), F.col("n_y")) & more)
 
 
-def _pairs_left(looks: DataFrame, members: DataFrame, told: DataFrame) -> DataFrame:
+def _pairs_left(active: DataFrame, told: DataFrame, parts: int) -> DataFrame:
     """The same for sets that were cut anew, each pair looked up by its cheaper row: pairs a < b, ``sure`` if they are linked.
 
     Where a key makes many pairs, rows told apart by few elements from one ``pivot`` (``told``: node, pivot, delta) are compared by
@@ -426,48 +573,41 @@ def _pairs_left(looks: DataFrame, members: DataFrame, told: DataFrame) -> DataFr
     nearest = F.abs(F.size("delta_x") - F.size("delta_y"))
     # one CASE, so that arrays are compared only where sizes leave it open
     close = F.when(~cheaper | ~within(apart), False).when(~one, True).when(~within(apart + nearest), False).otherwise(within(apart + delta))
-    mixed = materialize(_mixed(looks, members), "mixed")
-
-    def of(rows: DataFrame, work: Column) -> DataFrame:
-        return rows.join(mixed.filter(work).select("key", "d"), ["key", "d"], "left_semi")
-
+    keys = _open(active, parts)
+    rows = materialize(active.join(keys, "key"), "open", parts=parts)
+    kinds = F.array(*(F.struct(F.lit(d).alias("d"), (F.col(f"find_{c}") & F.col(f"open_{c}")).alias("on"), F.col(f"work_{c}").alias("work")) for c, d in (("f", False), ("d", True))))
+    looks = rows.select("key", *_SIDE, F.explode(kinds).alias("k")).filter("k.on").select("key", "k.d", *_SIDE, "k.work")
+    members = rows.filter((F.col("d") & F.col("open_d")) | (~F.col("d") & F.col("open_f"))).withColumn("work", F.when(F.col("d"), F.col("work_d")).otherwise(F.col("work_f")))
     few, many = F.col("work") <= MANY_PAIRS, F.col("work") > MANY_PAIRS
-    plain = _met(of(looks, few), of(members, few), _SIDE, cheaper & within(apart)).select("node_x", "node_y", F.lit(False).alias("sure"))
-    wide = lambda rows: of(rows, many).join(told, "node", "left")
+    plain = _met(looks.filter(few), members.filter(few), _SIDE, cheaper & within(apart)).select("node_x", "node_y", F.lit(False).alias("sure"))
+    wide = lambda x: x.filter(many).join(told, "node", "left")
     hot = _met(wide(looks), wide(members), (*_SIDE, "pivot", "delta"), close).select("node_x", "node_y", one.alias("sure"))
     ends = plain.unionByName(hot).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), "sure")
     return ends.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
-def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    named = labels.withColumnRenamed("label", "now")
-    return rows.join(named, "node", "left").withColumn("label", F.coalesce("now", "node")).drop("now")
-
-
-def _mixed(looks: DataFrame, members: DataFrame) -> DataFrame:
-    """``key, d, work`` of the keys and kinds that more than one component meets: the pairs that a look-up makes there."""
-    both = looks.select("key", "d", "label", F.lit(1).alias("look")).unionByName(members.select("key", "d", "label", F.lit(0).alias("look")))
-    n, of_looks = F.count("*"), F.sum("look")
-    told = both.groupBy("key", "d").agg(F.min("label").alias("low"), F.max("label").alias("high"), (of_looks * (n - of_looks)).alias("work"))
-    return told.filter("low <> high and work > 0").select("key", "d", "work")
-
-
-def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame, parts: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups for ``_allocated``, nodes whose segments don't suffice, ``node, pivot, delta``) of ``nodes(node, label)`` without
     the elements that only one of them has."""
-    own = elements.join(nodes, "node")
+    nodes = materialize(nodes, "nodes", parts=parts)
+    own = materialize(_some(elements, nodes.select("node")).join(nodes, "node"), "own", parts=parts)
     items = own.select("node", F.explode("elements").alias("item"))
-    kept = items.withColumn("times", F.count("*").over(Window.partitionBy("item"))).filter("times > 1").groupBy("node").agg(F.collect_list("item").alias("kept"))
-    reduced = materialize(own.select("node", "label", F.size("elements").cast("long").alias("n")).join(kept, "node"), "kept")
+    single = items.groupBy("item").agg(F.count("*").alias("times"), F.min("node").alias("node")).filter("times = 1")
+    private = single.groupBy("node").agg(F.collect_list("item").alias("private"))
+    empty = F.array().cast("array<long>")
+    kept = F.array_except("elements", F.coalesce("private", empty))
+    reduced = materialize(own.join(private, "node", "left").select("node", "label", F.size("elements").cast("long").alias("n"), kept.alias("kept")), "kept", parts=parts)
+    discard(own)
     of_pivot = elements.select(F.col("node").alias("pivot"), F.col("elements").alias("whole"))
     near = reduced.select("node", "kept").join(pivots, "node").join(of_pivot, "pivot")
     told = near.select("node", "pivot", F.concat(F.array_except("kept", "whole"), F.array_except("whole", "kept")).alias("delta"))
+    told = materialize(told, "delta", parts=parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, len(batch), 512):
                 part = batch.slice(i, 512)
-                sets = [np.sort(np.array(k.as_py(), np.int64).view(np.uint64)) for k in part["kept"]]
+                sets = [np.sort(k.values.to_numpy().view(np.uint64)) for k in part["kept"]]
                 sizes = part["n"].to_numpy()
                 at = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
                 who, g = taken_bands(sizes.tolist())
@@ -488,112 +628,150 @@ def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame) -> tuple
                 made = [own["node"], own["n"], pa.array(private[who[of]]), own["label"], pa.array(g[of]), pa.array(full[of]), pa.array(able[of]), pa.array(h[of]), keys, pa.array(np.concatenate([slot, more]))]
                 yield pa.RecordBatch.from_arrays(made, [*_GROUP, "key", "slot"])
 
-    made = materialize(reduced.mapInArrow(run, ", ".join(f"{c} long" for c in (*_GROUP, "key", "slot"))), "recut", batch=512)
-    return _grouped(_shared(made.filter("key is not null"), "node"), "node", "g"), made.filter("key is null").select("node").distinct(), told
+    made = materialize(reduced.mapInArrow(run, ", ".join(f"{c} long" for c in (*_GROUP, "key", "slot"))), "recut", batch=512, parts=parts)
+    discard(reduced)
+    is_d = F.shiftright("slot", _D).bitwiseAND(1)
+    counts = made.filter("key is not null").groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.sum(is_d).alias("n_d"), F.sum(1 - is_d).alias("n_f"))
+    counts = materialize(counts.filter("low <> high and n_f > 0").select("key", "n_f", "n_d"), "counts", parts=parts)
+    return _grouped(made.join(counts, "key")), made.filter("key is null").select("node").distinct(), told
 
 
-def _scan_links(docs: DataFrame, short: DataFrame) -> DataFrame | None:
-    """Links (a, b) of the given nodes with all rows, found by comparing blocks of them with every text."""
-    sc = docs.sparkSession.sparkContext
-    links = None
+# ---- sets that segments cannot tell apart ----
 
-    def scan(block: list) -> DataFrame:
-        shared = sc.broadcast([(r["node"], np.sort(np.array(r["elements"], np.int64).view(np.uint64))) for r in block])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = []
-                for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                    h = shingles(text.as_py())
-                    for node, own in shared.value:
-                        if len(h) and len(own) and 100 * min(len(h), len(own)) >= LEAST * max(len(h), len(own)):
-                            same = len(np.intersect1d(h, own, assume_unique=True))
-                            if 100 * same >= LEAST * (len(h) + len(own) - same):
-                                found.append((node, doc_id))
-                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+def _links_by_elements(docs: DataFrame, classes: DataFrame, nodes: DataFrame, parts: int) -> DataFrame | None:
+    """Links (a, b) of the given nodes with all classes.  A set linked with one of n elements lacks at most n / 5 of them, so it has
+    one of any n / 5 + 1: these are looked for in all texts."""
+    ids = classes.join(nodes, "node").select("doc_id")
+    if not nodes.limit(1).count():
+        return None
+    own = _sets_of(docs, ids, parts).join(nodes, "node")
+    needed = F.floor(F.size("elements") * F.lit(100 - LEAST) / 100).cast("int") + 1
+    needles = materialize(own.select("node", F.explode(F.slice("elements", F.lit(1), needed)).alias("item")), "needles", parts=parts)
+    wanted = needles.select("item").distinct()
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    sought = docs.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow()["item"].to_numpy()) if few else None)
 
-        return materialize(_texts(docs).mapInArrow(run, "a long, b long"), "links")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in _parts(batch["text"]):
+                h, at = shingle_sets(texts)
+                items, who = h.view(np.int64), np.repeat(_digests(h, at), np.diff(at))
+                if sought.value is not None and len(sought.value):
+                    place = np.minimum(np.searchsorted(sought.value, items), len(sought.value) - 1)
+                    hit = sought.value[place] == items
+                    items, who = items[hit], who[hit]
+                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(items)], ["other", "item"])
 
-    block, size = [], 0
-    for row in _sets_of(docs, short).toLocalIterator():
-        block.append(row)
-        size += len(row["elements"])
-        if len(block) >= BLOCK_SETS or size >= BLOCK_ELEMENTS:
-            links = scan(block) if links is None else links.unionByName(scan(block))
-            block, size = [], 0
-    if block:
-        links = scan(block) if links is None else links.unionByName(scan(block))
-    return links
+    hits = docs.select("text").mapInArrow(run, "other long, item long")
+    met = hits.join(needles, "item").filter("other <> node").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    pairs = materialize(met, "pairs", parts=parts)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _sets_of(docs, classes.join(ends, "node").select("doc_id"), parts)
+    return materialize(_compared(pairs, sets).filter("linked").select("a", "b"), "links", parts=parts)
 
 
-def link(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs(doc_id, text)``.
+# ---- the join ----
 
-    Null and empty texts and texts without words have an empty set and are linked with nothing.
-    Rows with one doc_id are one node; a null doc_id is one more, and the component of rows that are
-    linked only with it is null.  Repeated rows all stay, other columns are ignored, and an empty
-    table gives no rows.
-    """
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(``doc_id, n, lo`` of every row, ``node, label, doc_id`` of every class that isn't empty, files for a table): classes with one
+    label are connected, and doc_id is the least of the class."""
     sets = materialize(set_table(docs), "sets")
-    bands_ = [f"{c}{i}" for i in (0, 1) for c in ("g", "full", "able", "h")]
-    classes = sets.filter("n > 0").groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in bands_))
-    classes = materialize(classes, "classes")
-    shared = materialize(_shared(signature_table(docs), "lo"), "shared")
-    drop_shuffles(docs.sparkSession)
+    total, shuffles = sets.agg(F.sum("n")).first()[0] or 0, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = -(-total // FILE_ELEMENTS)
+    of_class = [F.first(c).alias(c) for c in ("n", *_BANDS)]
+    classes = materialize(sets.filter("n > 0").groupBy(F.col("lo").alias("node")).agg(F.min("doc_id").alias("doc_id"), *of_class), "classes", parts=parts)
+    shared = shared_signatures(docs, max(shuffles, -(-total // PACK)), classes.count())
     of_band = lambda c: F.when(F.col("g") == F.col("g0"), F.col(f"{c}0")).otherwise(F.col(f"{c}1")).alias(c)
-    named = shared.join(classes, "lo").withColumn("g", F.shiftright("slot", _BAND))
-    rows = named.select("lo", "node", "n", F.lit(0).cast("long").alias("p"), F.col("node").alias("label"), "g", *map(of_band, ("full", "able", "h")), "key", "slot", "n_f", "n_d")
-    active = materialize(_allocated(_grouped(rows, "lo", "node", "g")), "active", batch=256)
-    short = classes.filter("full0 + able0 <= h0 or full1 + able1 <= h1").select("node").distinct()
-
-    looks = _looks(active)
-    members = active.join(looks.select("key", "d").distinct(), ["key", "d"], "left_semi")
-    looks, members = materialize(looks, "looks"), materialize(members.select("key", "d", *_SIDE), "members")
-    elements = materialize(_sets_of(docs, active.select("node").distinct()), "elements")
-    to_node = sets.filter("n > 0").join(classes.select("n", "lo", "hi", "node"), ["n", "lo", "hi"]).select(F.col("doc_id").alias("b"), "node")
-
-    def scan(nodes: DataFrame) -> DataFrame | None:
-        if (scanned := _scan_links(docs, materialize(nodes, "short"))) is None:
-            return None
-        return materialize(scanned.join(to_node, "b").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "links")
-
-    edges = scan(short)
+    named = shared.join(classes, "node").withColumn("g", F.shiftright("slot", _BAND))
+    rows = named.select("node", "n", F.lit(0).cast("long").alias("p"), F.col("node").alias("label"), "g", *map(of_band, ("full", "able", "h")), "key", "slot", "n_f", "n_d")
+    active = materialize(_allocated(_grouped(rows)), "active", batch=256, parts=parts)
+    ids = active.select("node").distinct().join(classes, "node").select("doc_id")
+    elements = _sets_of(docs, ids, parts)
+    short = classes.filter("full0 + able0 <= h0 or full1 + able1 <= h1").select("node")
+    edges = _links_by_elements(docs, classes, short, parts)
     # all rows of a key against one of them
-    leader = members.groupBy("key", "d").agg(F.min_by(F.struct(*_SIDE), "node").alias("one")).select("key", "d", "one.*")
-    compared = materialize(_compared(materialize(_pairs(looks, leader), "pairs"), elements), "compared")
-    drop_shuffles(docs.sparkSession)
-    found = _linked(compared)
-    edges = found if edges is None else edges.unionByName(found)
-    labels = materialize(components(edges), "labels")
-    looks, members = _relabelled(looks, labels), _relabelled(members, labels)
-    mixed = materialize(_mixed(looks, members), "mixed").select("key", "d")
-    open_ = looks.join(mixed, ["key", "d"], "left_semi").select("node", "label").unionByName(members.join(mixed, ["key", "d"], "left_semi").select("node", "label")).distinct()
-    groups, thin, told = _cut_anew(elements, materialize(open_, "open"), _nearest(compared, active))
-    active = materialize(_allocated(groups), "active", batch=256)
-    pairs = materialize(_pairs_left(_looks(active), active, materialize(told, "delta")), "pairs")
-    found = _linked(_compared(pairs.filter("not sure").drop("sure"), elements))
+    first = materialize(_pairs_with_one(active, parts), "pairs", parts=parts)
+    compared = materialize(_compared(first, elements), "compared", parts=parts)
+    found = compared.filter("linked").select("a", "b")
+    labels = roots(found if edges is None else edges.unionByName(found), parts)
+    nodes = _left_open(active, labels, parts)
+    groups, thin, told = _cut_anew(elements, nodes, _pivots(compared, parts), parts)
+    again = materialize(_allocated(groups), "active", batch=256, parts=parts)
+    pairs = materialize(_pairs_left(again, told, parts), "pairs", parts=parts)
     stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    edges = stars.unionByName(pairs.filter("sure").select("a", "b")).unionByName(materialize(found, "links"))
-    if (found := scan(thin)) is not None:
-        edges = edges.unionByName(found)
-    labels = materialize(components(edges), "labels")
-    named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    out = sets.join(named.select("n", "lo", "hi", "label"), ["n", "lo", "hi"], "left")
-    null = lambda c: F.when(c != _NONE, c)
-    # rows that share a doc_id are one node
-    nodes = out.filter("n > 0").groupBy("doc_id").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    joins = nodes.filter("low <> high")
-    if joins.limit(1).count():
-        more = out.filter("n > 0").join(joins.select("doc_id", "low"), "doc_id").select(F.col("label").alias("a"), F.col("low").alias("b"))
-        again = components(more).select(F.col("node").alias("label"), F.col("label").alias("joined"))
-        out = out.join(again, "label", "left").withColumn("label", F.coalesce("joined", "label"))
-    return out.select(null(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), null(F.coalesce("label", "doc_id")).alias("component_id"))
+    edges = stars.unionByName(pairs.filter("sure").select("a", "b")).unionByName(_compared(pairs.filter("not sure"), elements).filter("linked").select("a", "b"))
+    if (more := _links_by_elements(docs, classes, thin, parts)) is not None:
+        edges = edges.unionByName(more)
+    labels = roots(edges, parts)
+    named = classes.select("node", "doc_id").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
+    named = materialize(named, "named", parts=parts)
+    discard(classes, active, elements, first, compared, told, again, pairs)
+    return sets, named, parts
+
+
+def link(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs(doc_id, text)``.
+
+    Null and empty texts and texts without words have an empty set and are linked with nothing; their component is their own id.  Every
+    row is linked by its own text, also where rows share a doc_id or have none; a component is named by its least doc_id that isn't null, and null
+    if it has none.  Ids are of any type that Spark can order.  Repeated rows all stay, other columns are ignored, and an
+    empty table gives no rows.
+    """
+    sets, named, parts = _classes(docs)
+    least = materialize(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "least", parts=parts)
+    names = materialize(named.join(least, "label").select(F.col("node").alias("lo"), "component_id"), "names", parts=parts)
+    discard(named, least)
+    out = sets.select("doc_id", "n", "lo").join(names, "lo", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _with_sets(docs: DataFrame, size: str, name: str) -> DataFrame:
+    """``docs`` with the size and name of the set of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in _parts(batch["text"]):
+                h, at = shingle_sets(texts)
+                own = batch.slice(first, len(texts))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.diff(at)), pa.array(_digests(h, at))], [*own.schema.names, size, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(size, LongType()), StructField(name, LongType())]))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row whose doc_id is the least, of rows with
-    one doc_id the one whose text sorts first.  Rows with an empty set stay, one for each doc_id."""
-    kept = link(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    first = Window.partitionBy("doc_id").orderBy("text")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.withColumn("_place", F.row_number().over(first)).filter("_place = 1").select(*docs.columns)
+    """The rows of ``docs`` without near copies: of each component the row of least doc_id, null last; of such rows with one
+    doc_id those of the least set, and of these the one whose text sorts first.  Rows with an empty set all stay.  Columns
+    of any name and type come back as they were; an empty table gives no rows."""
+    sets, named, parts = _classes(docs)
+    rows = sets.select("doc_id", "n", F.col("lo").alias("node"))
+    whole = rows.join(named.select("node", "label"), "node")
+    best = whole.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("best"))
+    best = materialize(best.select("best.doc_id", "best.node"), "best", parts=parts)
+    ids = rows.groupBy("doc_id").agg(F.count("*").alias("times"), F.max((F.col("n") == 0).cast("int")).alias("bare"))
+    ids = ids.join(best.select(F.col("doc_id").alias("own"), F.lit(1).alias("one")).distinct(), F.col("doc_id").eqNullSafe(F.col("own")), "left")
+    ids = materialize(ids.select("doc_id", ((F.col("times") > 1) | F.col("doc_id").isNull()).alias("odd"), (F.col("one").isNotNull() | (F.col("bare") == 1)).alias("kept")), "ids", parts=parts)
+    discard(named)
+    wanted, size, name = (unused(docs, c) for c in ("wanted", "set_size", "set_name"))
+
+    def rows_of(some: DataFrame, how: str, few: bool) -> DataFrame:
+        own = some.select(F.col("doc_id").alias(wanted))
+        return docs.join(F.broadcast(own) if few else own, F.col("doc_id").eqNullSafe(F.col(wanted)), how)
+
+    is_odd, is_kept = F.col("odd"), F.col("kept")
+    dropped, kept, odd = ids.agg(F.count_if(is_odd | ~is_kept), F.count_if(~is_odd & is_kept), F.count_if(is_odd)).first()
+    if dropped <= BROADCAST_ROWS:
+        out = rows_of(ids.filter("odd or not kept"), "left_anti", True)
+    else:
+        out = rows_of(ids.filter("not odd and kept"), "left_semi", kept <= BROADCAST_ROWS)
+    if not odd:
+        return out
+    named_rows = _with_sets(rows_of(ids.filter("odd and kept"), "left_semi", odd <= BROADCAST_ROWS), size, name)
+    first = best.select(F.col("doc_id").alias(wanted), F.col("node").alias(unused(docs, "node")))
+    same = F.col("doc_id").eqNullSafe(F.col(wanted)) & (F.col(name) == F.col(unused(docs, "node")))
+    copies = named_rows.filter(F.col(size) > 0).join(first, same, "left_semi")
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    order = F.struct(F.col("text"), F.xxhash64(*plain))
+    one = copies.groupBy("doc_id", name).agg(F.min_by(F.struct(*docs.columns), order).alias(size)).select(f"{size}.*")
+    return out.unionByName(one.select(*docs.columns)).unionByName(named_rows.filter(F.col(size) == 0).select(*docs.columns))

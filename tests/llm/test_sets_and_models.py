@@ -1,10 +1,13 @@
 """Jaccard join, components, mixing and toxicity against brute force and held-out rows."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
+from pyspark.sql import functions as F
 
 from malgeul.llm import graph, jaccard, mixture, toxicity
 
@@ -74,21 +77,63 @@ def test_link_equals_brute_force_on_documents(spark):
 
 def test_link_odd_rows(spark):
     text = "a b c d e f g h"
-    rows = [(None, text), (None, "p q r s t u v w"), (5, text), (5, text), (7, "k l m n o p q"), (7, "p q r s t u v w"), (None, None), (3, "k l m n o p q")]
-    got = jaccard.link(spark.createDataFrame(rows, DOC)).collect()
-    assert len(got) == len(rows)
-    # the null row's two texts, the texts of 5, 7 and 3 are all connected through shared ids
-    assert {r["component_id"] for r in got if r["n_shingles"]} == {None}
+    rows = [(None, text), (None, "p q r s t u v w"), (5, text), (5, text), (7, "k l m n o p q"), (7, "p q r s t u v w"), (None, None), (3, "k l m n o p q"), (-(2**63), "only here"), (None, "and only here")]
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, DOC)).collect())
+    # rows are linked by their texts, not by ids that they share
+    assert got == Counter({(None, 4, 5): 1, (5, 4, 5): 2, (None, 4, 7): 1, (7, 3, 3): 1, (7, 4, 7): 1, (3, 3, 3): 1, (None, 0, None): 1, (-(2**63), 1, -(2**63)): 1, (None, 1, None): 1})
     assert jaccard.link(spark.createDataFrame([], DOC)).count() == 0
+    named = spark.createDataFrame([("b", text), ("a", text), ("c", "x")], "doc_id string, text string")
+    assert sorted(tuple(r) for r in jaccard.link(named).collect()) == [("a", 4, "a"), ("b", 4, "a"), ("c", 1, "c")]
 
 
-def test_scan_when_segments_do_not_suffice(spark, monkeypatch):
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_links_by_elements(spark, monkeypatch, few):
+    """The way of sets that segments cannot tell apart, for all sets."""
     rows = planted(random.Random(3), 120)
-    monkeypatch.setattr(jaccard, "BLOCK_SETS", 40)
-    real = jaccard.layout
-    monkeypatch.setattr(jaccard, "layout", lambda g: (max(1, real(g)[0] // 3), 0))
-    got = sorted(tuple(r) for r in jaccard.link(spark.createDataFrame(rows, DOC)).collect())
-    assert got == brute(rows)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", few)
+    docs = spark.createDataFrame(rows, DOC)
+    sets = jaccard.set_table(docs).filter("n > 0").cache()
+    classes = sets.groupBy(F.col("lo").alias("node")).agg(F.min("doc_id").alias("doc_id"))
+    links = [(r["a"], r["b"]) for r in jaccard._links_by_elements(docs, classes, classes.select("node"), 1).collect()]
+    words = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w := t.split()) >= 5 else {tuple(w)} for i, t in rows}
+    name, ids = {r["doc_id"]: r["lo"] for r in sets.collect()}, sorted(words)
+    want = {tuple(sorted((name[i], name[j]))) for i in ids for j in ids if i < j and name[i] != name[j] and 100 * len(words[i] & words[j]) >= 80 * len(words[i] | words[j])}
+    assert len(links) == len(set(links)) and set(links) == want and len(want) > 20
+
+
+def test_common_keys_are_dealt_to_all_buckets():
+    """Packed signatures give the shared ones back, whether a key is common or not, and whatever sets arrays have in common."""
+    rng = np.random.default_rng(0)
+    keys = rng.integers(-(2**63), 2**63, 300, dtype=np.int64)
+    kept, everything, arrays = None, set(), []
+    for _ in range(4):
+        los = np.unique(rng.integers(-(2**63), 2**63, 60, dtype=np.int64))
+        who, key = rng.integers(0, 60, 900), keys[rng.zipf(1.2, 900) % 300]
+        slot = rng.integers(2, 20, 900) << jaccard._BAND | rng.integers(0, 2, 900) << jaccard._D | rng.integers(0, 9, 900)
+        _, once = np.unique(np.stack([key, who]), axis=1, return_index=True)
+        key, who, slot = key[once], who[once], slot[once]
+        if kept:  # the first sets are those of the array before
+            los[:5], use = kept[0], who >= 5
+            key, who, slot = (np.concatenate([a[use], b]) for a, b in zip((key, who, slot), kept[1:], strict=True))
+        first = who < 5
+        kept = (los[:5].copy(), key[first], who[first], slot[first])
+        everything |= set(zip(key.tolist(), los[who].tolist(), slot.tolist(), strict=True))
+        arrays.append((key, who, slot, los))
+    by_key = defaultdict(set)
+    for key, lo, slot in everything:
+        by_key[key].add((lo, slot))
+    want = Counter(len(v) for v in by_key.values() if len({lo for lo, _ in v}) > 1 and not all(s >> jaccard._D & 1 for _, s in v) for _ in v)
+    for limit in (64, 3):
+        before, jaccard.COMMON_KEY = jaccard.COMMON_KEY, limit
+        try:
+            table = pa.Table.from_batches([jaccard._pack(*a, 7, 240) for a in arrays])
+        finally:
+            jaccard.COMMON_KEY = before
+        found = defaultdict(set)
+        for b in range(7):
+            for r in jaccard._shared_of(table.filter(pa.compute.equal(table["bucket"], b))).to_pylist():
+                found[r["key"]].add((r["node"], r["slot"]))
+        assert Counter(len(v) for v in found.values() for _ in v) == want
 
 
 def test_large_near_copy_group(spark):
@@ -130,8 +175,8 @@ def test_components(spark):
     for a, b in edges:
         p, q = sorted((find(a), find(b)))
         up[q] = p
-    got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: find(x) for x in up}
+    rows = [(r["node"], r["label"]) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert dict(rows) == {x: find(x) for x in up} and len(rows) == len(up)
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
@@ -207,11 +252,11 @@ def test_ordinal_regression_recovers_order():
     s = x @ np.array([2.0, -1.0, 0.0]) + rng.logistic(size=2000)
     y = (s > 0.5).astype(int) + (s > 2.5)
     rows = [[(f, int(v)) for f, v in enumerate(r) if v] for r in x]
-    model = toxicity.fit(rows, y.tolist(), ["a", "b", "c"], ridge=1e-5, steps=800)
+    model = toxicity.fit(toxicity.design_of(rows), y.tolist(), ["a", "b", "c"], ridge=1e-5, steps=800)
     assert abs(model.weights["a"] - 2) < 0.25 and abs(model.weights["b"] + 1) < 0.25 and abs(model.weights.get("c", 0)) < 0.2
     assert abs(model.thresholds[0] - 0.5) < 0.3 and abs(model.thresholds[1] - 2.5) < 0.3
     above = model.above(1.0)
-    assert above[0] > above[1] and toxicity.fit([], [], []).above(0)[0] < 0.01
+    assert above[0] > above[1] and toxicity.fit(toxicity.design_of([]), [], []).above(0)[0] < 0.01
 
 
 def test_toxicity_held_out(spark):
