@@ -21,10 +21,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from malgeul.llm.common import materialize, require
+from malgeul.llm.common import discard, materialize, require, unused
 
 LEAF, FAN = 4_000, 64
 EPSILON = 1e-12
+#: Decisions that are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3.0, 1.0, 2.0)
 
@@ -164,8 +166,10 @@ def mix(docs: DataFrame, seed: int = 11, share: float = 1.5, most: float = 2.0,
     kind = docs.schema["doc_id"].dataType.simpleString()
     sizes = materialize(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "sizes")
     aims = materialize(targets(sizes, share, most, weights), "targets")
-    many = Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0))
-    rows = sizes.withColumn("nth", F.row_number().over(many))
+    # equal rows are numbered after they have been counted, so that many of them are no more than one row in the shuffle
+    times = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").cast("int").alias("times"))
+    rows = materialize(times.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("nth")), "numbered")
+    discard(sizes)
     aim = aims.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)).withColumnRenamed("source", "own")
     same = F.col("source").eqNullSafe(F.col("own"))
     rates = aim.select("own", "rate", F.floor("rate").alias("whole"))
@@ -201,11 +205,32 @@ def mix(docs: DataFrame, seed: int = 11, share: float = 1.5, most: float = 2.0,
 
 
 def apply_mix(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as ``decisions`` of ``mix(docs)`` says, with the columns of ``docs``."""
+    """The rows of ``docs`` as often as ``decisions`` of ``mix(docs)`` says, with the columns of ``docs``, of any name.
+
+    A row is found by its doc_id, or where that is repeated or null, by doc_id, source and size, and rows that share these too
+    by their place in order of text.  Rows with 0 copies go; an empty table gives no rows.
+    """
     require(docs, "doc_id", "text", "source")
-    many = Window.partitionBy("doc_id").orderBy("_source", "_size", "text")
-    rows = docs.withColumn("_source", F.col("source")).withColumn("_size", size_of(F.col("text"))).withColumn("_nth", F.row_number().over(many))
-    theirs = Window.partitionBy("doc_id").orderBy("source", "size", "nth")
-    told = decisions.select(F.col("doc_id").alias("_id"), F.row_number().over(theirs).alias("_n"), "copies").filter("copies > 0")
-    met = rows.join(told, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_nth") == F.col("_n")))
-    return met.withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).select(*docs.columns)
+    names = own_id, own_source, own_size, own_nth, copies, times = [unused(docs, c) for c in ("own_id", "own_source", "own_size", "own_nth", "copies", "times")]
+    told = materialize(decisions.select("doc_id", "source", "size", "nth", "copies"), "decisions")
+    odd = materialize(told.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select(F.col("doc_id").alias(own_id)), "odd")
+    n_odd, n = odd.count(), told.count()
+
+    def hint(rows: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(rows) if size <= BROADCAST_ROWS else rows
+
+    told = told.toDF(own_id, own_source, own_size, own_nth, copies)
+    by_id = F.col("doc_id").eqNullSafe(F.col(own_id))
+    plain = told if not n_odd else told.join(odd, told[own_id].eqNullSafe(odd[own_id]), "left_anti")
+    met = docs.join(hint(plain.select(own_id, copies), n), by_id)
+    out = met.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int")))).select(*docs.columns)
+    if not n_odd:
+        return out
+    rows = docs.join(hint(odd, n_odd), by_id, "left_semi").withColumn(own_size, size_of(F.col("text")))
+    place = Window.partitionBy("doc_id", "source", own_size).orderBy(F.xxhash64("text"), "text")
+    rows = rows.withColumn(own_nth, F.row_number().over(place))
+    theirs = told.join(odd, told[own_id].eqNullSafe(odd[own_id]), "left_semi").filter(F.col(copies) > 0)
+    theirs = theirs.toDF(*(unused(rows, f"{c}_") for c in names[:4]), copies)
+    same = [rows[c].eqNullSafe(theirs[t]) for c, t in zip(("doc_id", "source", own_size, own_nth), theirs.columns, strict=False)]
+    more = rows.join(theirs, same[0] & same[1] & same[2] & same[3])
+    return out.unionByName(more.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int")))).select(*docs.columns))
