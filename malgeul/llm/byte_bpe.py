@@ -195,14 +195,22 @@ def encode(docs: DataFrame, codec: Codec | Broadcast) -> DataFrame:
 
 
 def decode(encoded: DataFrame, codec: Codec | Broadcast) -> DataFrame:
-    """``doc_id`` and the ``data binary`` that its ``ids`` stand for; null ids give empty data."""
+    """``doc_id`` and the ``data binary`` that its ``ids`` stand for; null and empty ids give empty data, ids that the vocabulary
+    lacks, null among them, give null.  Repeated rows are all decoded; other columns are ignored; an empty table gives no rows."""
     require(encoded, "doc_id", "ids")
     shared = codec if isinstance(codec, Broadcast) else encoded.sparkSession.sparkContext.broadcast(codec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+
+        def data_of(ids: list | None) -> bytes | None:
+            try:
+                return own.decode(ids or [])
+            except KeyError:
+                return None
+
         for batch in batches:
-            data = [own.decode(ids or []) for ids in batch["ids"].to_pylist()]
+            data = [data_of(ids) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(data, pa.binary())], ["doc_id", "data"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
@@ -210,7 +218,10 @@ def decode(encoded: DataFrame, codec: Codec | Broadcast) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, codec: Codec | Broadcast, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Encode and decode in one pass: digests of ids and of the decoded bytes of every row."""
+    """Encode and decode in one pass: ``doc_id, n_tokens``, digests of the ids and of the decoded bytes of every row, and the columns ``keep``.
+
+    Null and empty texts have no tokens; repeated rows and null ids are coded row by row, very long texts whole; other columns
+    are ignored; an empty table gives no rows."""
     require(docs, "doc_id", "text", *keep)
     shared = codec if isinstance(codec, Broadcast) else docs.sparkSession.sparkContext.broadcast(codec)
 

@@ -16,8 +16,8 @@ from malgeul.llm.common import require
 
 #: Fixed values of the format.
 MAX_CODES, MAX_BITS, MAX_SIDE = 4096, 12, 65535
-#: Samples in a row of a stored payload.
-WIDTH = 64
+#: Samples in a row of a stored payload, and bytes of frames that are passed on at once, about.
+WIDTH, HELD = 64, 4_000_000
 
 
 # ---- LZW ----
@@ -268,16 +268,32 @@ def decode_frames(media: DataFrame, key: str, column: str) -> DataFrame:
     """
     require(media, key, column)
 
+    def frames(raw: bytes) -> Iterator[tuple]:
+        try:
+            gif = read_gif(raw)  # a damaged value has no frames at all
+        except ValueError as e:
+            yield (None,) * 7 + (str(e),)
+            return
+        for i, (a, d, c) in enumerate(compose(gif)):
+            yield i, 10 * a, 10 * d, c.shape[1], c.shape[0], c.tobytes(), histogram(c), None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, v in zip(batch[key], batch[column], strict=True):
-                try:
-                    shown = compose(read_gif(v.as_py() or b""))
-                    rows = [(i, 10 * a, 10 * d, c.shape[1], c.shape[0], c.tobytes(), histogram(c), None) for i, (a, d, c) in enumerate(shown)]
-                except ValueError as e:
-                    rows = [(None,) * 7 + (str(e),)]
-                for row in rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], batch[key].type), *(pa.array([x], t) for x, t in zip(row, kinds, strict=True))], names)
+            rows, size = [], 0
+
+            def out() -> pa.RecordBatch:
+                columns = zip(*rows, strict=True)
+                return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, [batch[key].type, *kinds], strict=True)], names)  # noqa: B023
+
+            for k, v in zip(batch[key].to_pylist(), batch[column], strict=True):
+                for row in frames(v.as_py() or b""):
+                    rows.append((k, *row))
+                    size += len(row[5] or b"")
+                    if size >= HELD:
+                        yield out()
+                        rows, size = [], 0
+            if rows:
+                yield out()
 
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.string()]
     names = [key, *(f.split()[0] for f in FRAMES.split(", "))]
@@ -296,7 +312,8 @@ def store(payload: bytes) -> bytes:
 
 def encode_texts(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes`` and ``media``: the UTF-8 of the whole ``text`` (null: empty), filled up with
-    zero bytes to a positive multiple of 64 and stored losslessly.  One row per input row."""
+    zero bytes to a positive multiple of 64 and stored losslessly.  One row per input row, repeated and null ids
+    included; a text over 4 MB makes several frames; other columns are ignored; an empty table gives no rows."""
     require(docs, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +339,10 @@ def payload_of(gif: Gif) -> tuple[bytes, list[int]]:
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """Digests and the feature string of the payload in each row's ``media``."""
+    """Digests and the feature string of the payload in each row's ``media``.
+
+    A null value gives nulls but for ``feature``, which names the error, as it does for a damaged value, whose stored bytes
+    alone have a size and a digest.  Repeated rows are all read; other columns are ignored; an empty table gives no rows."""
     require(media, "doc_id", "n_bytes", "media")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +350,12 @@ def read_back(media: DataFrame) -> DataFrame:
             rows = []
             for value in batch["media"]:
                 stored = value.as_py()
-                gif = read_gif(stored)
+                try:
+                    gif = read_gif(stored or b"")
+                except ValueError as e:
+                    known = (None, None) if stored is None else (len(stored), hashlib.sha256(stored).hexdigest())
+                    rows.append((None, None, None, *known, f"error={e}"))
+                    continue
                 payload, counts = payload_of(gif)
                 grey = ",".join(str(counts[i]) for i in (0, 21, 42, 63))
                 shown = sum(f.delay_cs for f in gif.frames) * 10

@@ -2,7 +2,7 @@
 pre-token frequencies of each document.
 
 The vocabulary of the corpus is one aggregation.  Pre-tokens in many documents, at most
-``HOT`` of them and none over ``HOT_CHARS`` characters, are broadcast, so no common word becomes a
+``HOT`` of them with ``HOT_CHARS`` characters in all, are broadcast, so no common word becomes a
 hot join key; the others are joined by a shuffle as postings of a block of documents.
 """
 
@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from malgeul.llm.common import materialize, require
 
-HOT, HOT_CHARS = 400_000, 64
+#: Pre-tokens that are broadcast at most, their characters in all, and those of one.
+HOT, HOT_CHARS, LONGEST = 400_000, 16_000_000, 100_000
 #: Bytes of text whose postings are gathered at once, and distinct pre-tokens held before they are passed on.
 BLOCK, HELD = 4_000_000, 1_000_000
 
@@ -121,17 +122,17 @@ def vocabulary(docs: DataFrame, tokenizer: WordTokenizer) -> DataFrame:
 
 
 def _hot(vocab: DataFrame) -> dict[str, int]:
-    """Pieces of the pre-tokens in most documents: as many whole classes of equal log2(n_docs) as hold at most HOT."""
-    short = vocab.filter(F.length("pretoken") <= HOT_CHARS).withColumn("class", F.floor(F.log2("n_docs")))
-    total, least = 0, None
-    for row in sorted(short.groupBy("class").count().collect(), key=lambda r: -r["class"]):  # at most 63 rows
-        total += row["count"]
-        if total > HOT:
+    """Pieces of the pre-tokens in most documents: as many whole classes of equal log2(n_docs) as fit."""
+    some = vocab.withColumn("chars", F.length("pretoken")).filter(F.col("chars") <= LONGEST).withColumn("class", F.floor(F.log2("n_docs")))
+    total, chars, least = 0, 0, None
+    for row in sorted(some.groupBy("class").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect(), key=lambda r: -r["class"]):  # at most 63 rows
+        total, chars = total + row["n"], chars + row["chars"]
+        if total > HOT or chars > HOT_CHARS:
             break
         least = row["class"]
     if least is None:
         return {}
-    return {r["pretoken"]: r["pieces"] for r in short.filter(F.col("class") >= least).select("pretoken", "pieces").toLocalIterator()}
+    return {r["pretoken"]: r["pieces"] for r in some.filter(F.col("class") >= least).select("pretoken", "pieces").toLocalIterator()}
 
 
 def count_tokens(docs: DataFrame, tokenizer: WordTokenizer) -> DataFrame:
