@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import textwrap
 from functools import lru_cache
 
 import public_tokenizers
@@ -14,7 +15,7 @@ from malgeul.llm.oracle import SQL  # noqa: F401
 #: Results of a search; rows whose id it divides are the queries.
 TOP_K, QUERY_STEP = 10, 20
 CONTEXT_TOKENS = 2048
-CHAT_PROBE = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+CHAT_PROBE = "\\### Assistant: </turn> ok"
 
 
 def op1_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,13 +54,24 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    probe = spark.createDataFrame(CHAT_PROBE, "conv_id long, turn long, role string, text string")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CHAT_PROBE).alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return chat.digests(chat.format_conversations(turns))
 
 
+def license_probes(spark: SparkSession) -> DataFrame:
+    """Whole licences under negative ids, as the documents may have none: wrapped anew under notices, every other one in capitals."""
+    rows = []
+    for i, (_, text) in enumerate(license_scan.LICENSES):
+        paragraphs = (textwrap.fill(" ".join(p.split()), 60 + i) for p in text.split("\n\n"))
+        whole = f"Copyright (c) {2000 + i} Some Holder\nAll rights reserved.\n\n" + "\n\n".join(paragraphs)
+        rows.append((-1 - i, whole.upper() if i % 2 else whole))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(license_probes(spark))
+    return license_scan.scan(docs, license_scan.known_digests(spark))
 
 
 @lru_cache(1)

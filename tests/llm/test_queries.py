@@ -1,8 +1,15 @@
 """The registered queries against their SQL, the filters against small tables, and the pipeline against brute force."""
 
 import datetime as dt
+import math
+import os
+import random
+import re
+import textwrap
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from oracle_check import connect, same
 from pyspark.sql import functions as F
@@ -20,7 +27,7 @@ def test_query(spark, name):
     if name in oracle.SQL:
         same(spark, connection, queries.QUERIES[name], oracle.SQL[name], SF)
     else:
-        made = queries.QUERIES[name](spark, SF)
+        made = queries.QUERIES[name](spark, SF).cache()
         assert made.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
         assert sorted(map(str, made.collect())) == sorted(map(str, queries.QUERIES[name](spark, SF).collect()))
 
@@ -44,6 +51,31 @@ def test_url_filter(spark):
     assert url_filter.evaluate(captures.limit(0), lists).count() == 0 and url_filter.evaluate(captures, lists.limit(0)).filter("blocked").count() == 0
 
 
+def test_url_filter_categories(spark):
+    """A category lasts until its own removal; a removal without one ends them all."""
+    entries = [
+        ("x.org", day(1), "add", "adult"), ("x.org", day(2), "add", "ads"), ("x.org", day(5), "remove", "ads"), ("x.org", day(20), "remove", None), ("x.org", day(20), "remove", None),
+        ("y.org/a//b/", day(1), "add", "deep"), ("[2001:DB8::1]", day(1), "add", "v6"), ("3.4", day(1), "add", "no"), ("1.2.3.4", day(1), "add", "v4"), ("y.org/a", day(1), "add", "flat"),
+    ]
+    lists = spark.createDataFrame(entries, "pattern string, dated date, action string, category string")
+    urls = [
+        ("http://x.org/", day(1), ("x.org", "adult")), ("http://x.org/", day(3), ("x.org", "ads" if "ads" < "adult" else "adult")), ("http://x.org/", day(9), ("x.org", "adult")), ("http://x.org/", day(20), None),
+        ("http://y.org/a/b/c?q", day(9), ("y.org/a/b", "deep")), ("http://y.org/a/bc", day(9), ("y.org/a", "flat")), ("http://y.org//a", day(9), ("y.org/a", "flat")), ("http://y.org/b/a", day(9), None), ("http://z.y.org/a/b", day(9), None),
+        ("http://[2001:db8::1]:80/x", day(9), ("[2001:db8::1]", "v6")), ("http://u@[2001:db8::2]/", day(9), None), ("http://1.2.3.4:8/", day(9), ("1.2.3.4", "v4")), ("http://2.2.3.4/", day(9), None),
+    ]
+    captures = spark.createDataFrame([(i, u, d) for i, (u, d, _) in enumerate(urls)], "page_id long, url string, fetched date")
+    got = {r["page_id"]: (r["pattern"], r["category"]) if r["blocked"] else None for r in url_filter.evaluate(captures, lists).collect()}
+    assert got == {i: hit for i, (_, _, hit) in enumerate(urls)}
+
+
+def test_url_folders_keep_their_case(spark):
+    entries = spark.createDataFrame([("Example.ORG/Blog", 1, "add", "x"), ("Other.net", 1, "add", "y"), (None, 1, "add", "z")], "pattern string, dated int, action string, category string")
+    urls = ["http://example.org/Blog/1", "http://EXAMPLE.org/Blog", "http://example.org/blog/1", "http://a.OTHER.net/Q"]
+    pages = spark.createDataFrame([(i, u, 2) for i, u in enumerate(urls)], "page_id long, url string, fetched int")
+    got = {r["page_id"]: (r["blocked"], r["pattern"]) for r in url_filter.evaluate(pages, entries).collect()}
+    assert got == {0: (True, "example.org/Blog"), 1: (True, "example.org/Blog"), 2: (False, None), 3: (True, "other.net")}
+
+
 def test_license_scan(spark):
     mit = license_scan._MIT
     texts = [
@@ -58,6 +90,32 @@ def test_license_scan(spark):
     assert forms == {1: "license license organization", 2: "a b"}
 
 
+def test_licenses_in_any_wrapping(spark):
+    """Texts under notices, and public texts with notices of their own, in all widths from 40 to 100."""
+    wrapped = lambda t, width: "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in re.split(r"\n[ \t]*\n", t))
+    texts = [(name, f"Copyright (c) 2020 Some One\nCopyright 2021 Others, Inc.\nAll rights reserved.\n\n{wrapped(t, w)}") for name, t in license_scan.LICENSES if len(t) > 200 for w in range(40, 101)]
+    files = {"Apache-2.0": "Apache-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD": "BSD-3-Clause"}
+    for file, name in files.items():
+        if os.path.exists(path := f"/usr/share/common-licenses/{file}"):
+            whole = open(path, encoding="utf-8").read()
+            texts += [(name, wrapped(whole, w)) for w in range(40, 101, 6)]
+            texts += [(name, whole.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2019 Some Name")), (None, whole[:-200])]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], DOC)
+    got = {r["doc_id"]: r["license_id"] for r in license_scan.scan(docs, license_scan.known_digests(spark)).collect()}
+    assert [i for i, (name, _) in enumerate(texts) if got[i] != name] == []
+
+
+def test_license_body_lines_stay(spark):
+    mit, bsd = license_scan._MIT, license_scan._BSD_HEAD + license_scan._BSD_THIRD + license_scan._BSD_TAIL
+    texts = [
+        (1, mit.replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS"), "MIT"), (2, mit.replace("above copyright notice", "above\ncopyright notice"), "MIT"),
+        (3, bsd.replace("THE COPYRIGHT HOLDER OR", "THE\n * COPYRIGHT HOLDER OR"), "BSD-3-Clause"), (4, "Copyright Some One\nCopyright 2020 x\n" + mit, "MIT"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    got = license_scan.scan(docs, license_scan.known_digests(spark)).collect()
+    assert {r["doc_id"]: r["license_id"] for r in got} == {i: n for i, _, n in texts}
+
+
 def brute_bm25(docs, wanted, k):
     import math
 
@@ -77,20 +135,125 @@ def brute_bm25(docs, wanted, k):
     return out
 
 
-@pytest.mark.parametrize("rows, block, terms", [(4096, 64, 2_000_000), (50, 4, 300), (7, 2, 50)])
-def test_bm25_equals_brute_force(spark, monkeypatch, rows, block, terms):
+@pytest.mark.parametrize("rows, terms", [(8192, 1_000_000), (20, 3000)])
+def test_bm25_equals_brute_force(spark, monkeypatch, rows, terms):
     monkeypatch.setattr(bm25, "SHARD_ROWS", rows)
-    monkeypatch.setattr(bm25, "BLOCK", block)
     monkeypatch.setattr(bm25, "QUERY_TERMS", terms)
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + [(1000, None), (1001, ""), (1002, "..."), (1003, "the the the"), (1004, "the the the"), (None, "the rare")]
     wanted = [(i, t) for i, t in docs if i is not None and (i % 20 == 0 or i > 999)]
     got = bm25.top_k(spark.createDataFrame([(*d, 1) for d in docs], DOC + ", rank int"), spark.createDataFrame(wanted, "query_id long, text string"), 10).collect()
     assert {(r["query_id"], -1 if r["doc_id"] is None else r["doc_id"], r["rank"], round(r["score"], 3)) for r in got} == brute_bm25(docs, wanted, 10)
+    if rows == 20:
+        return
     empty = spark.createDataFrame([], DOC)
     assert bm25.top_k(empty, spark.createDataFrame(wanted, "query_id long, text string")).count() == 0
     assert bm25.top_k(spark.createDataFrame(docs, DOC), empty.withColumnRenamed("doc_id", "query_id")).count() == 0
 
 
+def test_bm25_odd_ids(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "x y"), (None, "x"), ("c", None)], "doc_id string, text string")
+    queries = spark.createDataFrame([(1.5, "x"), (2.5, "X "), (2.5, None), (None, "x"), (3.5, "nothing")], "query_id double, text string")
+    got = sorted((r["query_id"], r["rank"], r["doc_id"]) for r in bm25.top_k(docs, queries, 2).collect())
+    assert got == [(1.5, 1, None), (1.5, 2, "a"), (2.5, 1, None), (2.5, 2, "a")]
+
+
+def test_bm25_kernel(monkeypatch):
+    """Small blocks, many shards and thresholds that move, against all scores; some blocks are skipped."""
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(words[: 40 * (1 + i % 10)] if i % 3 else words[300:], k=rng.randint(0, 60))) for i in range(600)]
+    docs = bm25.coded(texts)
+    assert [(n, sorted(tf.tolist())) for _, n, _, tf in docs] == [(sum(c.values()), sorted(c.values())) for c in map(bm25.terms_of, texts)]
+    for block, step, batch, frequent in ((64, 4, 64, 1024), (4, 2, 7, 20), (1, 1, 1, 0)):
+        for name, value in (("BLOCK", block), ("STEP", step), ("BATCH", batch), ("FREQUENT", frequent)):
+            monkeypatch.setattr(bm25, name, value)
+        shards = []
+        for start in range(0, 600, 100):
+            order, packed = bm25._pack(docs[start : start + 100])
+            shards.append(bm25.Shard([start + i for i in order], *packed, 30.0))
+        some = docs[:600:9]
+        q = bm25.Queries(list(range(len(some))), np.cumsum([0, *(len(d[2]) for d in some)]), np.concatenate([d[2] for d in some]), np.concatenate([d[3] * 1.5 for d in some]), np.zeros(len(some)))
+        told = Counter()
+        for s in shards:
+            list(s.search(q, np.full(len(some), 60.0), 5, told))
+        assert 0 < told["pivots"] < told["blocks"]
+        for mine, own in zip(bm25._merged(iter(shards), q, 5), some, strict=True):
+            weight = dict(zip(own[2].tolist(), (own[3] * 1.5).tolist(), strict=True))
+            scores = [(round(sum(weight.get(t, 0) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * n / 30)) for t, f in zip(terms.tolist(), tf.tolist(), strict=True)), 4), i) for i, (_, n, terms, tf) in enumerate(docs)]
+            best = sorted((x for x in scores if x[0] > 0), key=lambda x: (-x[0], x[1]))[:5]
+            assert [i for _, i in mine] == [i for _, i in best] and np.allclose([s for s, _ in mine], [s for s, _ in best], atol=2e-4)
+
+
+def test_toxicity_equals_brute_force(spark):
+    """Sample, features, grades, fit, cut and scores by plain loops over the whole tables."""
+    sf = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = sorted((i, t) for i, t in labels.items() if i in docs)
+    n = [sum(t == 0 for _, t in rows), sum(t > 0 for _, t in rows)]
+    seen = Counter((f, t > 0) for i, t in rows for f in {f for w in toxicity.words(docs[i]) for f in toxicity.features_of(w)})
+
+    def part(x, n):
+        return (x * math.log(x / n) if x else 0.0) + ((n - x) * math.log((n - x) / n) if x < n else 0.0)
+
+    gain = {f: part(seen[f, False], n[0]) + part(seen[f, True], n[1]) - part(seen[f, False] + seen[f, True], n[0] + n[1]) for f, _ in seen}
+    names = sorted(f for f, g in gain.items() if g > math.log(sum(n)) / 2)
+    place = {f: k for k, f in enumerate(names)}
+    found = [sorted(Counter(place[f] for w in toxicity.words(docs[i]) for f in toxicity.features_of(w) if f in place).items()) for i, _ in rows]
+    strong = {f for f in names if seen[f, True] * n[0] > 3 * seen[f, False] * n[1]}
+    share = [sum(c for f, c in own if names[f] in strong) / max(1, len(toxicity.words(docs[i]))) for (i, _), own in zip(rows, found, strict=True)]
+    hits = sorted(s for s, (_, t) in zip(share, rows, strict=True) if t and s > 0)
+    grades = [0 if not t else 2 if s >= hits[len(hits) // 2] else 1 for s, (_, t) in zip(share, rows, strict=True)]
+    model = toxicity.fit(toxicity.design_of(found), grades, names)
+    told, folds = [], [zlib.crc32(str(i).encode()) % toxicity.FOLDS for i, _ in rows]
+    for k in range(toxicity.FOLDS):
+        apart = toxicity.fit(toxicity.design_of([f for f, i in zip(found, folds, strict=True) if i != k]), [g for g, i in zip(grades, folds, strict=True) if i != k], names)
+        told += [(apart.above(sum(c * apart.weights.get(names[f], 0.0) for f, c in own))[0], g > 0) for own, g, i in zip(found, grades, folds, strict=True) if i == k]
+    f1 = lambda cut: sum(g and p > cut for p, g in told) * 2 / (sum(p > cut for p, _ in told) + sum(g for _, g in told))
+    got = {r["doc_id"]: r for r in queries.op2_toxicity(spark, sf).collect()}
+    cut = toxicity.best_cut(told)
+    assert f1(cut) == max(f1(p) for p, _ in told) and set(got) == set(docs)
+    for i, text in docs.items():
+        above = model.above(sum(model.weights.get(f, 0.0) for w in toxicity.words(text) for f in toxicity.features_of(w)))
+        assert got[i]["expected_severity"] == pytest.approx(sum(above), abs=2e-5) and (got[i]["grade"] == sum(p > cut for p in above) or min(abs(p - cut) for p in above) < 1e-6)
+
+
+def test_mix_odd_rows(spark):
+    rows = [(1, "a b", "s"), (1, "a b", "s"), (1, "c d", "s"), (1, "e", "t"), (None, "x y", None), (None, "z w", None), (2, "a b c", "s"), (3, None, "t"), (4, "q r s t u", "t")]
+    docs = spark.createDataFrame([(*r, i, i, "n") for i, r in enumerate(rows)], DOC + ", source string, _id int, own_id int, nth string")
+    for limit in (mixture.BROADCAST_ROWS, 0):
+        before, mixture.BROADCAST_ROWS = mixture.BROADCAST_ROWS, limit
+        try:
+            made = mixture.mix(docs)
+            mixed = mixture.apply_mix(docs, made)
+        finally:
+            mixture.BROADCAST_ROWS = before
+        want = Counter()
+        for r in made.collect():
+            want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+        got = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in mixed.collect())
+        assert mixed.columns == docs.columns and got == +want and {r["nth"] for r in mixed.collect()} == {"n"}
+        assert all(max(Counter(r["_id"] for r in mixed.collect()).values()) <= 2 for _ in (1,))
+
+
+def test_pipeline_odd_rows(spark, tmp_path):
+    """Nulls in any column, no and long texts, ties, repeated rows and other columns go through all stages; so does an empty table."""
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text, "en", "a", 5), (2, text + " more", None, "a", None), (2, "two words", "en", None, 1), (2, "two words", "en", None, 1), (None, "no id", "en", "b", 1), (None, None, None, None, None), (4, "", "en", "b", 0), (5, text * 40, "en", "b", 1), (6, "six", "en", "a", 1)]
+    docs = spark.createDataFrame([(*r, "kept", 7) for r in rows], DOC + ", lang string, source string, n_chars long, own_id string, node int")
+    spark.createDataFrame([(1, 0), (6, 1), (None, 1), (2, None)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for start, least in ((docs, 6), (docs.limit(0), 0)):
+        now = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(tmp_path))
+            assert now.columns == docs.columns, name
+            assert {(r["own_id"], r["node"]) for r in now.collect()} <= {("kept", 7)}
+            if name == "ngram_jaccard":
+                texts = Counter(r["text"] for r in now.collect())
+                assert sum(texts.values()) >= least and texts[text + " more"] == 0
+        assert stage is not None and corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).count() == now.count()
+
+
 def test_pipeline(spark):
     """Each stage against a plain version over its own input."""
     sf = "/root/testdata/sf0.01"
@@ -100,7 +263,7 @@ def test_pipeline(spark):
     assert kept.columns == columns
     model = toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     of = model.scorer()
-    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect() if not model.above(of(r["text"]))[0] > toxicity.THRESHOLD}
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect() if not model.above(of(r["text"]))[0] > model.cut}
     one = stages["ngram_jaccard"](spark, kept, sf).cache()
     from test_sets_and_models import brute
 
@@ -116,8 +279,11 @@ def test_pipeline(spark):
 
 
 def test_keep_one_odd_rows(spark):
-    same_text = "a b c d e f g h i j"
-    rows = [(1, same_text), (2, same_text), (2, same_text + " k"), (None, None), (4, ""), (5, None), (None, "only here once more and more")]
-    kept = jaccard.keep_one(spark.createDataFrame(rows, DOC)).collect()
-    assert Counter(r["doc_id"] for r in kept) == Counter([1, None, 4, 5])
+    text, more = "a b c d e f g h i j", "only here once more and more"
+    rows = [(1, text), (2, text), (2, text + " k"), (None, None), (4, ""), (5, None), (5, None), (None, more), (None, more), (7, "one"), (7, "two"), (8, "one")]
+    docs = spark.createDataFrame([(*r, i % 2, "x") for i, r in enumerate(rows)], DOC + ", wanted int, set_name string")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and {r["set_name"] for r in kept.collect()} == {"x"}
+    # no document goes that has no near copy: neither those without an id nor those that share one
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([(1, text), (None, None), (4, ""), (5, None), (5, None), (None, more), (7, "one"), (7, "two")])
     assert jaccard.keep_one(spark.createDataFrame([], DOC)).count() == 0

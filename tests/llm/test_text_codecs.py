@@ -2,8 +2,6 @@
 
 import base64
 import hashlib
-import io
-import json
 
 import numpy as np
 import public_tokenizers as P
@@ -40,6 +38,8 @@ def test_byte_bpe_equals_tiktoken(spark):
         assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
     back = byte_bpe.decode(byte_bpe.encode(frame(spark, ODD), codec), codec).collect()
     assert {r["doc_id"]: bytes(r["data"]) for r in back} == {i: (t or "").encode() for i, t in enumerate(ODD)}
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [10**6]), (4, [None]), (5, codec.encode("ok"))], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["data"] and bytes(r["data"]) for r in byte_bpe.decode(odd, codec).collect()} == {1: b"", 2: b"", 3: None, 4: None, 5: b"ok"}
     assert byte_bpe.encode(frame(spark, []), codec).count() == 0
     twice = spark.createDataFrame([(1, "b a"), (1, "b a"), (None, "b a")], DOC)
     assert byte_bpe.round_trip(twice, codec).count() == 3
@@ -113,10 +113,60 @@ def test_lzw_known_stream():
     assert "".join(map(str, gif.lzw_decode(stream, 2, 100))) == want
 
 
-def test_gif_against_pillow_if_present():
-    image = pytest.importorskip("PIL.Image")
-    payload = bytes(range(256)) * 8
-    assert image.open(io.BytesIO(gif.store(payload))).convert("L").tobytes() == payload
+def plain_gif(data):
+    """The samples of a GIF without disposal or transparency: bits one by one, strings in a list."""
+    at, out, local = 13, bytearray(), b""
+    shared = data[13 : 13 + 3 * (2 << (data[10] & 7))] if data[10] & 0x80 else b""
+    at += len(shared)
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            at += 2
+        else:
+            width, height, flags = data[at + 5] | data[at + 6] << 8, data[at + 7] | data[at + 8] << 8, data[at + 9]
+            at += 10
+            local = data[at : at + 3 * (2 << (flags & 7))] if flags & 0x80 else b""
+            at += len(local)
+            bits, stream, pos = data[at], bytearray(), at + 1
+            while data[pos]:
+                stream += data[pos + 1 : pos + 1 + data[pos]]
+                pos += 1 + data[pos]
+            number, place, strings, size, last, made = int.from_bytes(stream, "little"), 0, [], bits + 1, None, bytearray()
+            while True:
+                code = number >> place & ((1 << size) - 1)
+                place += size
+                if code == 1 << bits:
+                    strings, size, last = [bytes([i]) for i in range(1 << bits)] + [b"", b""], bits + 1, None
+                    continue
+                if code == (1 << bits) + 1:
+                    break
+                now = strings[code] if code < len(strings) else last + last[:1]
+                if last is not None and len(strings) < 4096:
+                    strings.append(last + now[:1])
+                    size = min(12, max(size, len(strings).bit_length()))
+                made += now
+                last = now
+            assert len(made) == width * height
+            table = local or shared
+            out += bytes(table[3 * i] for i in made)
+            at += 1
+        while data[at]:
+            at += 1 + data[at]
+        at += 1
+    return bytes(out)
+
+
+def test_gif_against_plain_decoder():
+    rng = np.random.default_rng(3)
+    for payload in (bytes(range(256)) * 8, rng.integers(0, 256, 64 * 200, np.uint8).tobytes(), b"ab" * 6400, b"\0" * 64):
+        assert plain_gif(gif.store(payload)) == payload
+
+
+def test_gif_read_back_of_odd_media(spark):
+    good = gif.store(b"x" * 64)
+    rows = spark.createDataFrame([(1, 1, bytearray(good)), (2, 1, None), (3, 1, bytearray(b"")), (4, 1, bytearray(good[:-9])), (None, None, bytearray(b"GIF89a"))], "doc_id long, n_bytes long, media binary")
+    got = {r["doc_id"]: r for r in gif.read_back(rows).collect()}
+    assert got[1]["payload_bytes"] == 64 and got[2]["media_bytes"] is None and got[4]["media_bytes"] == len(good) - 9
+    assert all(got[i]["payload_sha256"] is None and got[i]["feature"].startswith("error=") for i in (2, 3, 4, None))
 
 
 def test_gif_rules(spark):
@@ -194,4 +244,8 @@ def test_chat_format(spark):
         assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
         assert r["formatted_chars"] == len(own[r["conv_id"]]["formatted"])
     assert chat.digests(chat.format_conversations(df.limit(0))).count() == 0
-    assert json.dumps(chat.TURN_END)
+    long = spark.range(500).selectExpr("7 AS conv_id", "id AS turn", "CASE WHEN id % 5 < 2 THEN 'user' ELSE 'assistant' END AS role", "concat('<', id) AS text")
+    one = chat.format_conversations(long).first()
+    assert "".join(one["formatted"][a:b] for a, b in one["loss_spans"]) == "".join(f"<\\{i}" for i in range(500) if i % 5 > 1) and one["formatted"].count("### ") == 200
+    plan = queries.op4_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Window", "ExistingRDD"))
