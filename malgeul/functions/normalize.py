@@ -86,38 +86,48 @@ def _unit(unit: Column) -> Column:
     return F.when(F.lower(unit) == "km", "키로미터").otherwise(unit)
 
 
+def _one_by_one(text: Column) -> Column:
+    return read_each_digit(F.replace(text, F.lit(","), F.lit("")))
+
+
+def _sino(text: Column) -> Column:
+    """Digits with commas as a number, or one by one where they are too many to read."""
+    return F.coalesce(read_sino(number_of(text)), _one_by_one(text))
+
+
 def _counted(number: Column, unit: Column) -> Column:
     """Hours and native units in native words, machines so below ten, all others in Sino-Korean."""
     return read_number(number, lambda n: ((unit == "시") & (n <= 12)) | unit.isin(NATIVE_UNITS) | ((unit == "대") & (n < 10)))
 
 
 def decimals(text: Column) -> Column:
-    return replace_with(text, DECIMAL_UNIT, 4, lambda g: F.concat(_mark(read_sino(number_of(g[0])), "점", read_each_digit(g[1]), _unit(g[2])), g[3]))
+    return replace_with(text, DECIMAL_UNIT, 4, lambda g: F.concat(_mark(_sino(g[0]), "점", read_each_digit(g[1]), _unit(g[2])), g[3]))
 
 
 def approximations(text: Column) -> Column:
-    return replace_with(text, APPROXIMATE, 4, lambda g: F.concat(_mark(read_sino(number_of(g[0])), g[1], "여"), _unit(g[2]), g[3]))
+    return replace_with(text, APPROXIMATE, 4, lambda g: F.concat(_mark(_sino(g[0]), g[1], "여"), _unit(g[2]), g[3]))
 
 
 def mixed_man(text: Column) -> Column:
-    return replace_with(text, MIXED_MAN, 4, lambda g: F.concat(_mark(_counted(number_of(g[0]) * 10000 + number_of(g[1]), g[2]), _unit(g[2])), g[3]))
+    said = lambda g: F.coalesce(_counted(number_of(g[0]) * 10000 + number_of(g[1]), g[2]), _mark(_one_by_one(g[0]), "만", _one_by_one(g[1])))
+    return replace_with(text, MIXED_MAN, 4, lambda g: F.concat(_mark(said(g), _unit(g[2])), g[3]))
 
 
 def big_units(text: Column) -> Column:
-    return replace_with(text, BIG_UNIT, 4, lambda g: F.concat(_mark(read_sino(number_of(g[0])), g[1], g[2]), g[3]))
+    return replace_with(text, BIG_UNIT, 4, lambda g: F.concat(_mark(_sino(g[0]), g[1], g[2]), g[3]))
 
 
 def special_counters(text: Column) -> Column:
-    text = replace_with(text, CRIMINAL_COURT, 2, lambda g: F.concat(_mark("형사", read_sino(number_of(g[0])), "부"), g[1]))
-    return replace_with(text, NTH_TIME, 2, lambda g: F.concat(_mark("제", read_sino(number_of(g[0])), "회"), g[1]))
+    text = replace_with(text, CRIMINAL_COURT, 2, lambda g: F.concat(_mark("형사", _sino(g[0]), "부"), g[1]))
+    return replace_with(text, NTH_TIME, 2, lambda g: F.concat(_mark("제", _sino(g[0]), "회"), g[1]))
 
 
 def integers(text: Column) -> Column:
-    return replace_with(text, INTEGER_UNIT, 3, lambda g: F.concat(_mark(_counted(number_of(g[0]), g[1]), _unit(g[1])), g[2]))
+    return replace_with(text, INTEGER_UNIT, 3, lambda g: F.concat(_mark(F.coalesce(_counted(number_of(g[0]), g[1]), _one_by_one(g[0])), _unit(g[1])), g[2]))
 
 
 def bare_numbers(text: Column) -> Column:
-    return collapse(replace_with(text, BARE_NUMBER, 1, lambda g: read_sino(number_of(g[0]))))
+    return collapse(replace_with(text, BARE_NUMBER, 1, lambda g: _sino(g[0])))
 
 
 def punctuation(text: Column) -> Column:
@@ -237,7 +247,7 @@ def numbers_and_units(text: Column) -> Column:
 
 
 def normalize(text: Column, spacer: Spacer | None = None) -> Column:
-    """All stages; null counts as ''.  A number of 10^20 or more makes the text null."""
+    """All stages; null counts as ''.  A number of 10^20 or more is read digit by digit; the control characters U+0001 to U+0004 go."""
     text = numbers_and_units(ssi(letters(symbols(sanitize(either(text))))))
     done = glue(join_particles(compounds(punctuation(text), spacer)))
     return let(done, lambda t: F.when(~t.contains(LOST), restore_spaces(t)))

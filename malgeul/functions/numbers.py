@@ -48,15 +48,14 @@ def read_sino(n: Column) -> Column:
         return let(q.cast("int"), said)
 
     def positive(x: Column) -> Column:
-        def above(zeros: int) -> Column:
-            unit = F.lit(str(10**zeros)).cast("decimal(20,0)")
-            return ((x - x % unit) / unit).cast("decimal(38,0)")  # the division leaves no rest to round
-
-        return F.when(x == 0, "영").otherwise(_join(*(group(above(zeros) % 10000, name) for zeros, name in GROUPS)))
-
-    limit = F.lit("100000000000000000000").cast("decimal(38,0)")
-    whole = n.cast("decimal(38,0)")
-    return let(whole, lambda v: F.when(F.abs(v) >= limit, F.lit(None).cast("string")).when(v < 0, F.concat(F.lit("마이너스" + SPACE), positive(-v))).otherwise(F.when(v.isNotNull(), positive(v))))
+        # but for the first group, in long arithmetic
+        low = [group(F.call_function("div", x["low"], F.lit(10**zeros)) % 10000, name) for zeros, name in GROUPS[1:]]
+        return F.when((x["high"] == 0) & (x["low"] == 0), "영").otherwise(_join(group(x["high"], GROUPS[0][1]), *low))
+
+    unit, limit = (F.lit(str(v)).cast("decimal(38,0)") for v in (10 ** GROUPS[0][0], 10 ** (GROUPS[0][0] + 4)))
+    parts = lambda v: F.struct(((v - v % unit) / unit).cast("long").alias("high"), (v % unit).cast("long").alias("low"))
+    read = lambda v: F.concat(F.when(v < 0, "마이너스" + SPACE).otherwise(""), let(parts(F.abs(v)), positive))
+    return let(n.cast("decimal(38,0)"), lambda v: F.when(F.abs(v) < limit, read(v)))
 
 
 def read_number(n: Column, native: Callable[[Column], Column]) -> Column:

@@ -61,8 +61,10 @@ _CHUNK = 64
 def match_offsets(text: Column, pattern: str) -> Column:
     """``array<struct<start, end, text>>`` of all matches, half-open, in code points.
 
+    The control characters that mark matches count as another one while matches are looked for, so that places are those of the text.
     Appending to an array copies it, so pieces are folded in chunks and the chunks then placed one after the other."""
-    pieces = F.split(F.regexp_replace(text, pattern, _MATCH + "$0" + _GROUP), _MATCH)
+    marks = _MATCH + _GROUP + _END + LOST
+    pieces = F.split(F.regexp_replace(F.translate(text, marks, "\x05" * len(marks)), pattern, _MATCH + "$0" + _GROUP), _MATCH)
     one = "struct<start: int, end: int, text: string>"
     empty = lambda kind: F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{kind}>)").alias("found"))
 
@@ -91,13 +93,11 @@ def match_offsets(text: Column, pattern: str) -> Column:
         chunks = F.transform(firsts, lambda c: F.aggregate(F.slice(all_, c * _CHUNK + 1, _CHUNK), empty(one), step))
         return F.aggregate(chunks, empty(f"struct<base: int, found: array<{one}>>"), place, lambda s: F.flatten(F.transform(s["found"], moved)))
 
-    return let(pieces, folded)
+    def own(m: Column) -> Column:
+        return F.struct(m["start"], m["end"], F.substr(text, m["start"] + 1, m["end"] - m["start"]).alias("text"))
+
+    return let(let(pieces, folded), lambda found: F.when(text.rlike(f"[{marks}]"), F.transform(found, own)).otherwise(found))
 
 
 def overlaps(spans: Column, start: Column, end: Column) -> Column:
     return F.exists(spans, lambda s: ~((end <= s["start"]) | (start >= s["end"])))
-
-
-def only_free(taken: Column, new: Column) -> Column:
-    """The elements of ``new`` that overlap none of ``taken``."""
-    return let(F.struct(taken.alias("taken"), new.alias("new")), lambda z: F.filter(z["new"], lambda s: ~overlaps(z["taken"], s["start"], s["end"])))

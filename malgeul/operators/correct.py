@@ -8,7 +8,7 @@ from malgeul.functions.decide import Guards, apply_fixes, margin, mark, mark_saf
 from malgeul.functions.spans import CONTEXT, find_spans
 from malgeul.operators.segments import utterance_id
 from malgeul.operators.triage import Percentiles, percentile_buckets, with_logprob
-from malgeul.plans.providers import Provider, unchanged
+from malgeul.plans.providers import KEYS, Provider, unchanged
 
 # Fixed value: what audits name as the version.
 VERSION = "correct_model_v1"
@@ -38,8 +38,8 @@ def bucketed(rows: DataFrame, percentiles: Percentiles = Percentiles()) -> DataF
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """One row for each utterance and text, with ``row_key``, so that spans need not carry the text."""
-    return rows.withColumn("row_key", F.xxhash64("speaker_id", "sentence_id", "text_raw")).dropDuplicates(["utt_id", "row_key"])
+    """``rows`` with ``row_key``, a digest of all columns: rows that share an id but not a text are told apart, and spans need not carry the text."""
+    return rows.withColumn("row_key", F.md5(F.to_json(F.struct(*rows.columns))))
 
 
 def requests(rows: DataFrame, context: int = CONTEXT) -> DataFrame:
@@ -57,9 +57,9 @@ def requests(rows: DataFrame, context: int = CONTEXT) -> DataFrame:
 
 def decided(asked: DataFrame, provider: Provider = unchanged, guards: Guards = Guards()) -> DataFrame:
     """``asked`` with ``candidates, recommended, action``."""
-    keys = ["utt_id", "span_start", "span_end"]
-    told = provider(asked.select(*keys, "task", "left", "span", "right"))
-    rows = asked.join(told, keys, "left")
+    told = provider(asked)
+    keys = [k for k in ("row_key", *KEYS) if k in asked.columns and k in told.columns]
+    rows = told if set(asked.columns) <= set(told.columns) else asked.join(told, keys, "left")  # else spans would be looked for twice
     rows = rows.withColumn("recommended", F.coalesce(F.get("candidates", F.lit(0))["text"], F.col("span")))
     # spans of a sentence without spans: no address is among them
     sentence = sentence_action(F.col("bucket"), F.col("span"), F.col("recommended"), F.lit(False), guards)
@@ -72,12 +72,12 @@ def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: in
     marked = F.when(F.col("tag") == "CANON", F.concat(F.lit("⟦"), F.col("span"), F.lit("⟧"))).otherwise(mark(F.col("left"), F.col("span"), F.col("right")))
     fixed = F.col("action") == "AUTO_FIX"
     own = F.struct("span_start", "span_end", "tag", "span", marked.alias("marked"), "candidates", "recommended")
-    gathered = rows.groupBy("utt_id", "row_key").agg(
+    gathered = rows.groupBy("row_key").agg(
         F.collect_list(F.when(~fixed, own)).alias("found"),
         F.collect_list(F.when(fixed, F.struct(F.col("span_start").alias("start"), F.col("span_end").alias("end"), F.col("recommended").alias("new")))).alias("fixes"),
         F.max("n_spans").alias("n_spans"),
     )
-    met = base.join(gathered, ["utt_id", "row_key"])
+    met = base.join(gathered, "row_key")
     whole, clear = F.col("n_spans") == 0, F.size("found") == 0
     audit = F.struct(
         F.lit(VERSION).alias("pipeline_version"), F.when(whole, "STW_CANON").alias("mode"), F.when(~whole, F.lit(k_candidates)).alias("k_candidates"),
@@ -97,9 +97,9 @@ def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: in
 
 
 def correct(rows: DataFrame, provider: Provider = unchanged, guards: Guards = Guards(), percentiles: Percentiles = Percentiles(), k_candidates: int = 5, context: int = CONTEXT) -> DataFrame:
-    """Recogniser rows to outputs.  Rows that share an id, sentence and text become one."""
+    """Recogniser rows to outputs, one for each row; equal rows are decided once."""
     base = keyed(bucketed(records(rows), percentiles))
-    return outputs(decided(requests(base, context), provider, guards), base, k_candidates, context)
+    return outputs(decided(requests(base.dropDuplicates(["row_key"]), context), provider, guards), base, k_candidates, context)
 
 
 def issues_of(made: DataFrame) -> DataFrame:
@@ -112,9 +112,10 @@ def available(made: DataFrame) -> DataFrame:
 
 def distributions(made: DataFrame) -> DataFrame:
     """``kind, name, n`` of buckets and decisions, and the numbers of issues, available texts and reviews."""
-    one = lambda kind, c: made.groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "name", "n")
-    totals = made.agg(
-        F.coalesce(F.sum(F.size("issues")), F.lit(0)).cast("long").alias("issues"), F.count("text_avail").alias("available"), F.count_if(F.col("decision") == "NEEDS_REVIEW").alias("review")
-    )
-    rows = totals.select(F.inline(F.array(*(F.struct(F.lit("total").alias("kind"), F.lit(c).alias("name"), F.col(c).alias("n")) for c in ("issues", "available", "review")))))
-    return one("bucket", "bucket").unionByName(one("decision", "decision")).unionByName(rows)
+    counts = made.groupBy("bucket", "decision").agg(F.count("*").alias("n"), F.sum(F.size("issues")).alias("issues"), F.count("text_avail").alias("available"))
+    row = lambda kind, name, n: F.struct(F.lit(kind).alias("kind"), name.alias("name"), n.cast("long").alias("n"))
+    total = lambda name, n: row("total", F.lit(name), n)
+    review = F.when(F.col("decision") == "NEEDS_REVIEW", F.col("n")).otherwise(0)
+    each = F.array(row("bucket", F.col("bucket"), F.col("n")), row("decision", F.col("decision"), F.col("n")), total("issues", F.col("issues")), total("available", F.col("available")), total("review", review))
+    none = made.sparkSession.range(1).select(F.inline(F.array(*(total(name, F.lit(0)) for name in ("issues", "available", "review")))))
+    return counts.select(F.inline(each)).unionByName(none).groupBy("kind", "name").agg(F.sum("n").alias("n"))

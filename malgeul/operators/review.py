@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from malgeul.functions.decide import apply_all, apply_fixes, review_cell
 from malgeul.functions.textexpr import strip
@@ -60,8 +60,10 @@ def final_texts(resolved: DataFrame, originals: DataFrame | None = None) -> Data
 
 
 def apply_resolutions(rows: DataFrame, fixes: DataFrame) -> DataFrame:
-    """``rows(utt_id, text_raw)`` with ``text_fixed``: ``fixes(utt_id, start, end, new)`` that don't overlap; of fixes of one range any one holds."""
-    own = fixes.groupBy("utt_id", "start", "end").agg(F.max("new").alias("new")).groupBy("utt_id").agg(F.collect_list(F.struct("start", "end", "new")).alias("fixes"))
+    """``rows(utt_id, text_raw)`` with ``text_fixed``: ``fixes(utt_id, start, end, new[, place])`` that don't overlap; of fixes of one range the
+    last by ``place`` holds, or without such a column the one that sorts last."""
+    last = F.max_by("new", F.struct("place", "new")) if "place" in fixes.columns else F.max("new")
+    own = fixes.groupBy("utt_id", "start", "end").agg(last.alias("new")).groupBy("utt_id").agg(F.collect_list(F.struct("start", "end", "new")).alias("fixes"))
     made = rows.join(own, "utt_id", "left")
     return made.withColumn("text_fixed", F.when(F.col("fixes").isNull(), F.col("text_raw")).otherwise(apply_fixes(F.col("text_raw"), F.col("fixes")))).drop("fixes")
 
@@ -97,4 +99,15 @@ def first_rows(rows: DataFrame, by: str, n: int | None) -> DataFrame:
 
 
 def numbered(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.withColumn("row_no", F.row_number().over(Window.orderBy(*by)))
+    """``rows`` with ``row_no``, their place in order of ``by``: ranges are sorted by themselves, and a range's numbers begin after the counts of
+    those before it."""
+    ranges = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("row_no", F.monotonically_increasing_id())
+    part = F.shiftright("row_no", 33)
+    before, offsets = 0, []
+    for r in ranges.groupBy(part.alias("part")).count().orderBy("part").collect():  # a row for each range
+        offsets += [F.lit(r["part"]), F.lit(before)]
+        before += r["count"]
+    if not offsets:
+        return rows.withColumn("row_no", F.lit(0).cast("long")).limit(0)
+    within = F.col("row_no").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranges.withColumn("row_no", F.create_map(*offsets)[part] + within + 1)

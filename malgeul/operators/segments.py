@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from malgeul.functions.textexpr import strip
+from malgeul.operators.quantiles import exact_percentiles
 
 
 def utterance_id(speaker: Column, sentence: Column) -> Column:
@@ -73,12 +74,11 @@ def shard_of(index: Column, size: int = 200) -> Column:
 
 def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, deviation, minimum, exact quartiles and maximum: a row for each column."""
-    names = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
-    made = []
-    for c in columns:
-        made += [F.struct(F.lit(c).alias("metric"), *(F.col(f"{c}_{n}").cast("double").alias(n) for n in names))]
-    own = [x for c in columns for x in (
-        F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"),
-        *(F.percentile(c, F.lit(q)).alias(f"{c}_p{round(q * 100)}") for q in (0.25, 0.5, 0.75)), F.max(c).alias(f"{c}_max"),
-    )]
-    return rows.agg(*own).select(F.inline(F.array(*made)))
+    quartiles = {c: exact_percentiles(rows, c, (0.25, 0.5, 0.75)) for c in columns}
+    told = rows.agg(*(x for c in columns for x in (F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))))
+
+    def one(c: str) -> Column:
+        of = {n: F.col(f"{c}_{n}") for n in ("count", "mean", "std", "min", "max")} | {f"p{p}": F.lit(v) for p, v in zip((25, 50, 75), quartiles[c], strict=True)}
+        return F.struct(F.lit(c).alias("metric"), *(of[n].cast("double").alias(n) for n in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")))
+
+    return told.select(F.inline(F.array(*map(one, columns))))

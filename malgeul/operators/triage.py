@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from malgeul.functions.spans import find_spans, risk_score
 from malgeul.functions.textexpr import U, either, let, strip, words
+from malgeul.operators.quantiles import exact_percentiles
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,8 @@ def has_repetition(text: Column, repeats: int = 3, size: int = 2) -> Column:
 
     def equal_run(w: Column) -> Column:
         starts = F.when(F.size(w) >= repeats, F.sequence(F.lit(0), F.size(w) - repeats)).otherwise(F.array().cast("array<int>"))
-        return F.exists(starts, lambda i: F.size(F.array_distinct(F.slice(w, i + 1, repeats))) == 1)
+        same = lambda i: reduce(Column.__and__, (F.get(w, i) == F.get(w, i + k) for k in range(1, repeats)))
+        return F.exists(starts, same)
 
     block = r"(?s)(" + "." * size + ")" + r"\1" * (repeats - 1)
     return (F.length(text) >= size * repeats) & (text.rlike(block) | let(words(text), equal_run))
@@ -43,10 +46,11 @@ def triage(text: Column, logprob: Column, compression: Column, t: Thresholds = T
     above = lambda x, limit: ~F.isnan(x) & (x > limit)
 
     def scored(x: Column) -> Column:
+        repeated = x["repeated"]
         reason = (
             F.when(x["text"].isNull() | logprob.isNull() | compression.isNull(), "processing_error")
             .when(above(compression, t.compression_max), "compression_ratio_high")
-            .when(has_repetition(x["text"], t.repeats), "repeated_ngram")
+            .when(repeated if t.repeats == 3 else has_repetition(x["text"], t.repeats), "repeated_ngram")
             .when(F.length(x["text"]) < t.least_length, "too_short")
             .when(above(logprob, t.high), "high_confidence")
             .when(above(logprob, t.medium), "medium_confidence")
@@ -55,10 +59,10 @@ def triage(text: Column, logprob: Column, compression: Column, t: Thresholds = T
         return let(reason, lambda r: F.struct(
             F.when(r == "high_confidence", "A").when(r == "medium_confidence", "B").otherwise("C").alias("bucket"), r.alias("reason"),
             logprob.alias("avg_logprob"), compression.alias("compression_ratio"), F.length(x["text"]).alias("text_length"),
-            F.when(r == "repeated_ngram", True).otherwise(has_repetition(x["text"])).alias("has_repetition"),
+            ((r == "repeated_ngram") | repeated).alias("has_repetition"),
         ))
 
-    return let(F.struct(strip(text).alias("text")), scored)
+    return let(strip(text), lambda own: let(F.struct(own.alias("text"), has_repetition(own).alias("repeated")), scored))
 
 
 def triage_features(text: Column) -> dict[str, Column]:
@@ -72,8 +76,10 @@ def triage_features(text: Column) -> dict[str, Column]:
     }
 
 
-def bucket_statistics(rows: DataFrame, buckets: tuple[str, ...] = ("A", "B", "C")) -> DataFrame:
-    """One row: ``total`` and, for each bucket, its count and ratio; ratios over no rows are null."""
+def bucket_statistics(rows: DataFrame, buckets: tuple[str, ...] = ("A", "B", "C"), strict: bool = False) -> DataFrame:
+    """One row: ``total`` and, for each bucket, its count and ratio; ratios over no rows are null.  ``strict``: another bucket is an error."""
+    if strict:
+        rows = rows.withColumn("bucket", F.when(F.col("bucket").isin(*buckets), F.col("bucket")).otherwise(F.raise_error(F.concat(F.lit("unknown bucket: "), F.coalesce("bucket", F.lit("null"))))))
     total = F.count("*")
     columns = [total.alias("total")]
     for b in buckets:
@@ -90,7 +96,7 @@ def summary_lines(statistics: DataFrame, buckets: tuple[str, ...] = ("A", "B", "
 
 def risk_logprob(text: Column) -> Column:
     """What stands for a missing log probability: the more risky spans, the lower."""
-    return -1.0 - risk_score(find_spans(either(text))) * 0.1
+    return -1.0 - risk_score(find_spans(either(text), 0)) * 0.1
 
 
 def with_logprob(rows: DataFrame, text: str = "text_raw", column: str = "avg_logprob") -> DataFrame:
@@ -98,11 +104,9 @@ def with_logprob(rows: DataFrame, text: str = "text_raw", column: str = "avg_log
 
 
 def percentile_thresholds(rows: DataFrame, p: Percentiles = Percentiles(), column: str = "logprob") -> DataFrame:
-    """One row ``p_red, p_orange, p_yellow``, interpolated linearly; NaN if any value is."""
-    cut = F.percentile(column, F.array(*map(F.lit, (p.red, p.orange, p.yellow))))
-    odd = F.max(F.isnan(column))
-    cuts = rows.agg(cut.alias("cut"), odd.alias("odd"))
-    return cuts.select(*(F.when(F.col("odd"), float("nan")).otherwise(F.get("cut", F.lit(i))).alias(f"p_{n}") for i, n in enumerate(("red", "orange", "yellow"))))
+    """One row ``p_red, p_orange, p_yellow``, interpolated linearly; NaN if any value is, null without values."""
+    cuts = exact_percentiles(rows, column, (p.red, p.orange, p.yellow))
+    return rows.sparkSession.range(1).select(*(F.lit(v).cast("double").alias(f"p_{n}") for v, n in zip(cuts, ("red", "orange", "yellow"), strict=True)))
 
 
 def percentile_buckets(rows: DataFrame, p: Percentiles = Percentiles(), column: str = "logprob") -> DataFrame:

@@ -28,6 +28,18 @@ def results(utterances: DataFrame, thresholds: Thresholds = Thresholds()) -> Dat
     )
 
 
+def transcription_errors(rows: DataFrame) -> DataFrame:
+    """``rows(text, avg_logprob, compression_ratio, duration, error)`` of a batch: a row with an error reads ``ERROR`` with log probability -1."""
+    failed = F.col("error").isNotNull()
+    of = {"text": F.lit(ERROR), "avg_logprob": F.lit(-1.0), "compression_ratio": F.lit(0.0), "duration": F.lit(0.0)}
+    return rows.select(*(F.when(failed, of[c]).otherwise(F.col(c)).alias(c) if c in of else F.col(c) for c in rows.columns))
+
+
+def without_errors(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows without an error, and how many there are with one."""
+    return rows.filter("error is null"), rows.filter("error is not null").count()
+
+
 def normalization_source(verified: Column, raw: Column) -> Column:
     """The verified text, or the raw one where that is null or empty; null for empty and failed rows."""
     text = F.coalesce(F.nullif(verified, F.lit("")), raw)

@@ -32,6 +32,7 @@ t AS (SELECT {columns}, CAST(length(st) AS INT) AS text_length, rep AS has_repet
 
 TRI = f"WITH {UTT}, src AS (SELECT *, text_raw AS text, avg_logprob AS lp, compression_ratio AS cr FROM utt), {_triage('src', 'doc_id, utt_id, speaker_id, sentence_id, text_raw, language, duration, avg_logprob')}"
 
+# The words of numerals.
 DIG = "영일이삼사오육칠팔구"
 
 
@@ -83,7 +84,7 @@ SQL = {
     "s6_jsonl_scan": f"WITH {UTT} SELECT utt_id, speaker_id, sentence_id, CAST(length(text_raw) AS INT) AS chars, avg_logprob, duration FROM utt",
     "s7_done_ids": "SELECT DISTINCT CAST(doc_id AS VARCHAR) AS utt_id FROM labels WHERE doc_id % 5 > 1",
     "s9_results_round_trip": f"{MEANS}, src AS (SELECT *, avg_logprob AS lp, compression_ratio AS cr FROM u), {_triage('src', 'utt_id')} SELECT bucket, reason, count(*) AS n, CAST(sum(text_length) AS BIGINT) AS chars FROM t GROUP BY ALL",
-    "s14_bucket_files": f"{TRI} SELECT bucket, count(*) AS n FROM t WHERE language = 'fr' GROUP BY bucket",
+    "s14_bucket_files": f"{TRI} SELECT bucket, count(*) AS n FROM t GROUP BY bucket",
     "k4_review_cells": f"WITH {CAND} SELECT id, CASE WHEN single THEN rec || ' (0.900)' ELSE rec || ' (0.900) | ' || raw || ' (' || printf('%.3f', second) || ')' END AS cell FROM k",
     "k5_final_texts": f"WITH {EDIT} SELECT any_value(utt_id) AS utt_id, max(CASE WHEN span_start = 0 THEN final_text END) || substr(any_value(text), 5, 4) || max(CASE WHEN span_start = 8 THEN final_text END) || substr(any_value(text), 13) AS text_avail, 'human_review' AS resolved_from, count(*) AS resolution_count FROM e GROUP BY doc_id",
     "k7_shards": "SELECT o_orderkey // 200 AS shard, count(*) AS n FROM orders GROUP BY 1",
@@ -101,7 +102,7 @@ SQL = {
     "f12_context": """WITH x AS (SELECT *, doc_id % 50 AS s FROM documents) SELECT doc_id, substr(text, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)) AS "left", substr(text, s + 6, 40) AS "right" FROM x""",
     "j1_resume": f"WITH {UTT} SELECT utt_id, duration FROM utt WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "j2_original_texts": "SELECT CAST(conv_id AS VARCHAR) AS utt_id, arg_max(text, turn) AS original FROM conversations GROUP BY conv_id",
-    "j5_overlaps": 'WITH l AS (SELECT l_orderkey, l_linenumber AS no, CAST(l_quantity AS INT) AS s, CAST(l_quantity + l_linenumber * 3 AS INT) AS e FROM lineitem WHERE l_linenumber <= 3), o AS (SELECT l_orderkey, m.s AS s, m.e AS e FROM (SELECT l_orderkey, min(struct_pack(no := no, s := s, e := e)) AS m FROM l GROUP BY ALL)) SELECT o.l_orderkey, coalesce(bool_or(l.no > 1 AND l.s < o.e AND o.s < l.e), FALSE) AS hit FROM o JOIN l USING (l_orderkey) GROUP BY o.l_orderkey',
+    "j5_overlaps": 'WITH l AS (SELECT l_orderkey, l_linenumber AS no, CAST(l_quantity AS INT) AS s, CAST(l_quantity + l_linenumber * 3 AS INT) AS e FROM lineitem), o AS (SELECT l_orderkey, m.s AS s, m.e AS e FROM (SELECT l_orderkey, min(struct_pack(no := no, s := s, e := e)) AS m FROM l GROUP BY ALL)) SELECT o.l_orderkey, coalesce(bool_or(l.no > 1 AND l.s < o.e AND o.s < l.e), FALSE) AS hit FROM o JOIN l USING (l_orderkey) GROUP BY o.l_orderkey',
     "j6_match_levels": rf"WITH x AS (SELECT doc_id, text AS g, regexp_replace(text, '[.,]', ' ', 'g') AS p FROM documents), y AS (SELECT doc_id, p, g, replace(regexp_replace(p, '{PUNCT}', '', 'g'), '·', '') AS p1, replace(regexp_replace(g, '{PUNCT}', '', 'g'), '·', '') AS g1 FROM x), z AS (SELECT *, {collapse('p1')} AS p2, {collapse('g1')} AS g2 FROM y) SELECT doc_id, p = g AS match_strict, p1 = g1 AS match_punct, p2 = g2 AS match_punct_space, regexp_replace(p2, '\s+', '', 'g') = regexp_replace(g2, '\s+', '', 'g') AS match_no_space FROM z",
     "t1_triage": f"{TRI} SELECT utt_id, bucket, reason, text_length, has_repetition FROM t",
     "a1_bucket_statistics": f"{TRI} SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (bucket = '{b}') AS {b.lower()}_count, count(*) FILTER (bucket = '{b}') / count(*) AS {b.lower()}_ratio" for b in "ABC") + " FROM t",
@@ -110,7 +111,7 @@ SQL = {
     "w1_percentile_buckets": f"WITH {UTT}, p AS (SELECT quantile_cont(avg_logprob, 0.03) AS r, quantile_cont(avg_logprob, 0.15) AS o, quantile_cont(avg_logprob, 0.40) AS y FROM utt) SELECT utt_id, CASE WHEN avg_logprob <= r THEN 'RED' WHEN avg_logprob <= o THEN 'ORANGE' WHEN avg_logprob <= y THEN 'YELLOW' ELSE 'GREEN' END AS bucket FROM utt, p",
     "a5_weighted_means": f"WITH {SEG}, m AS (SELECT utt_id, CAST(length({_TEXT}) AS INT) AS chars, "
     + ", ".join(f"round(CASE WHEN sum(dur) > 0 THEN sum({c} * dur) / sum(dur) ELSE avg({c}) END, 9) AS {a}" for c, a in (("avg_logprob", "avg_logprob"), ("no_speech_prob", "avg_no_speech_prob"), ("compression_ratio", "compression_ratio")))
-    + ", bool_or(hot) AS temperature_fallback FROM seg GROUP BY utt_id) SELECT CAST(doc_id AS VARCHAR) AS utt_id, coalesce(chars, 0) AS chars, coalesce(avg_logprob, -1.0) AS avg_logprob, coalesce(avg_no_speech_prob, 1.0) AS avg_no_speech_prob, coalesce(compression_ratio, 0.0) AS compression_ratio, coalesce(temperature_fallback, FALSE) AS temperature_fallback FROM documents LEFT JOIN m ON m.utt_id = CAST(doc_id AS VARCHAR) WHERE doc_id < 150",
+    + ", bool_or(hot) AS temperature_fallback FROM seg GROUP BY utt_id) SELECT CAST(doc_id AS VARCHAR) AS utt_id, coalesce(chars, 0) AS chars, coalesce(avg_logprob, -1.0) AS avg_logprob, coalesce(avg_no_speech_prob, 1.0) AS avg_no_speech_prob, coalesce(compression_ratio, 0.0) AS compression_ratio, coalesce(temperature_fallback, FALSE) AS temperature_fallback FROM documents LEFT JOIN m ON m.utt_id = CAST(doc_id AS VARCHAR)",
     "a6_plain_means": f"{MEANS} SELECT utt_id, text, round(avg_logprob, 9) AS avg_logprob, round(compression_ratio, 9) AS compression_ratio FROM u",
     "a8_resolution_groups": f"WITH {EDIT} SELECT utt_id, string_agg(final_text, '|' ORDER BY row_no) AS texts, count(*) AS n FROM e GROUP BY utt_id",
     "a9_hours": f"WITH {UTT} SELECT language, round(sum(duration) / 3600, 9) AS hours FROM utt GROUP BY language",

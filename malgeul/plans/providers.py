@@ -1,8 +1,8 @@
 """Where models plug in.
 
-A candidate provider gets ``utt_id, span_start, span_end, task, left, span, right`` and returns
-``utt_id, span_start, span_end, candidates``.  No model comes with the package: the default keeps every span as it
-is, and ``table_provider`` looks candidates up.
+A candidate provider gets requests, ``row_key, utt_id, span_start, span_end, task, left, span, right`` among others, and returns them
+with ``candidates``.  No model comes with the package: the default keeps every span as it
+is, and ``table_provider`` looks candidates up.  A recogniser turns samples into segments.
 """
 
 from __future__ import annotations
@@ -11,7 +11,9 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from malgeul import schemas
 from malgeul.functions.decide import ranked
 from malgeul.schemas import CANDIDATE
 
@@ -20,32 +22,62 @@ KEYS = ("utt_id", "span_start", "span_end")
 
 
 def unchanged(requests: DataFrame) -> DataFrame:
-    return requests.select(*KEYS, F.array(F.struct(F.col("span").alias("text"), F.lit(1.0).alias("score"))).alias("candidates"))
+    return requests.withColumn("candidates", F.array(F.struct(F.col("span").alias("text"), F.lit(1.0).alias("score"))))
 
 
 def table_provider(table: DataFrame) -> Provider:
-    """Candidates from ``table(utt_id, span_start, span_end, candidates)``; spans that it lacks have none."""
+    """Candidates from ``table(utt_id, span_start, span_end, candidates)``; spans that it lacks have none, and of repeated keys the
+    list that sorts first counts.  Where texts share an id, a column ``span`` or ``row_key`` of the table tells them apart."""
 
     def look_up(requests: DataFrame) -> DataFrame:
-        own = table.select(*KEYS, "candidates").dropDuplicates(list(KEYS))
-        found = requests.select(*KEYS).join(own, list(KEYS), "left")
-        return found.select(*KEYS, F.coalesce("candidates", F.expr(f"cast(array() as array<{CANDIDATE}>)")).alias("candidates"))
+        keys = [k for k in (*KEYS, "span", "row_key") if k in table.columns and k in requests.columns]
+        own = table.groupBy(*keys).agg(F.min("candidates").alias("candidates"))
+        found = requests.join(own, keys, "left")
+        return found.withColumn("candidates", F.coalesce("candidates", F.expr(f"cast(array() as array<{CANDIDATE}>)")))
 
     return look_up
 
 
-def model_provider(load: Callable[[], Callable[[pd.DataFrame], list[list[tuple[str, float]]]]]) -> Provider:
-    """Candidates from a model that ``load`` opens once per task; it maps a frame of requests to lists of (text, score)."""
+def model_provider(load: Callable[[], Callable[[pd.DataFrame], list[list[tuple[str, float]]]]], k: int = 5, longest: int = 256) -> Provider:
+    """Candidates from a model that ``load`` opens once per task; it maps a frame of requests to lists of (text, score), of which the
+    best ``k`` stay, cut to ``longest`` characters."""
 
     def generate(requests: DataFrame) -> DataFrame:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             model = None
             for frame in frames:
                 model = model or load()
-                told = [[{"text": t, "score": float(s)} for t, s in own] for own in model(frame)]
-                yield frame[list(KEYS)].assign(candidates=told)
+                told = [[{"text": t[:longest], "score": float(s)} for t, s in own] for own in model(frame)]
+                yield frame.assign(candidates=told)
 
-        made = requests.mapInPandas(run, f"utt_id string, span_start int, span_end int, candidates array<{CANDIDATE}>")
-        return made.withColumn("candidates", ranked(F.col("candidates")))
+        schema = StructType([*requests.schema.fields, StructField("candidates", _parse_datatype_string(f"array<{CANDIDATE}>"))])
+        return requests.mapInPandas(run, schema).withColumn("candidates", F.slice(ranked(F.col("candidates")), F.lit(1), F.lit(k)))
 
     return generate
+
+
+def recognizer(load: Callable[[], Callable[[list[float], int], list[dict]]]) -> Callable[[DataFrame], DataFrame]:
+    """A recogniser from a model that ``load`` opens once per task: it maps samples and their rate to segments, dicts of ``text, start, end,
+    avg_logprob, no_speech_prob, compression_ratio, temperature``.  Rows are ``utt_id, samples, sampling_rate``; a row that fails, or
+    has no samples, gives one segment without a text, whose ``error`` says why."""
+
+    def recognize(rows: DataFrame) -> DataFrame:
+        names = [f.split()[0].strip("`") for f in schemas.SEGMENTS.split(", ")] + ["error"]
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            model = None
+            for frame in frames:
+                model, out = model or load(), []
+                for utt_id, samples, rate in zip(frame["utt_id"], frame["samples"], frame["sampling_rate"], strict=True):
+                    try:
+                        if samples is None:
+                            raise ValueError("no audio")
+                        out += [{"utt_id": utt_id, "seg_no": i, **s, "error": None} for i, s in enumerate(model(list(samples), int(rate)))]
+                    except Exception as e:  # noqa: BLE001  one bad recording does not stop the others
+                        out.append({"utt_id": utt_id, "seg_no": 0, "error": str(e)})
+                made = pd.DataFrame(out, columns=names).astype(object)
+                yield made.where(made.notna(), None)
+
+        return rows.select("utt_id", "samples", "sampling_rate").mapInPandas(run, f"{schemas.SEGMENTS}, error STRING")
+
+    return recognize

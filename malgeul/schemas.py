@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, functions as F
+
 
 def _ddl(text: str) -> str:
     return " ".join(text.split())
@@ -29,6 +31,7 @@ REVIEW_COLUMNS = ["utt_id", "speaker_id", "sentence_id", "bucket", "tag", "span_
 RESOLUTION = _ddl("utt_id STRING, speaker_id STRING, sentence_id STRING, span_start INT, span_end INT, raw_span STRING, final_text STRING, was_modified BOOLEAN, resolved_at TIMESTAMP")
 FINAL = _ddl("utt_id STRING, speaker_id STRING, sentence_id STRING, text_raw STRING, text_avail STRING, resolved_from STRING, resolution_count INT")
 PIPELINE_FIELDS = f"sample_id: STRING, text_raw: STRING, bucket: STRING, reason: STRING, metrics: {METRICS}, text_verified: STRING, text_normalized: STRING"
+PIPELINE_ROW = _ddl(f"sample_id STRING, text_raw STRING, bucket STRING, reason STRING, metrics {METRICS}, text_verified STRING, text_normalized STRING")
 RESULTS_DOCUMENT = _ddl(f"metadata STRUCT<created_at: STRING, total_count: INT, model_size: STRING>, results ARRAY<STRUCT<{PIPELINE_FIELDS}>>")
 BUCKET_REVIEW = _ddl("speaker_id STRING, sentence_id STRING, text_raw STRING, bucket STRING, reason STRING, duration DOUBLE, avg_logprob DOUBLE")
 SHARD = _ddl("idx INT, gender STRING, speaker_id STRING, sentence_id STRING, duration DOUBLE, raw_asr_text_acoustic STRING, beam_size INT, vad_filter BOOLEAN")
@@ -36,3 +39,16 @@ SHARD = _ddl("idx INT, gender STRING, speaker_id STRING, sentence_id STRING, dur
 TAGS = ("N3", "E2", "U1", "OOV", "CANON")
 BUCKETS = ("RED", "ORANGE", "YELLOW", "GREEN")
 ACTIONS = ("AUTO_FIX", "NEEDS_REVIEW", "PASS")
+
+#: Kinds that rows are stored as: ``as_json`` and ``from_json`` turn a struct of such fields into JSON and back.
+KINDS = {"span": SPAN, "candidate": CANDIDATE, "issue": f"STRUCT<{ISSUE_FIELDS}>", "output": f"STRUCT<{OUTPUT}>", "resolution": f"STRUCT<{RESOLUTION}>"}
+
+
+def as_json(value: Column) -> Column:
+    """A struct as JSON, null fields included."""
+    return F.to_json(value, {"ignoreNullFields": "false"})
+
+
+def from_json(text: Column, kind: str) -> Column:
+    """A struct of a kind back from JSON; a damaged text gives null fields, a null one null."""
+    return F.from_json(text, KINDS[kind])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StructType
 
@@ -123,14 +125,26 @@ def write_outputs(made: DataFrame, issues_path: str, available_path: str) -> Non
         own.unpersist()
 
 
-def write_results(rows: DataFrame, path: str, model_size: str = "large-v3") -> None:
-    """Pipeline results as JSON: one document with ``metadata`` and ``results``, for result sets that fit in one file."""
+def write_results(rows: DataFrame, path: str | None = None, model_size: str = "large-v3", folder: str = ".") -> str:
+    """Pipeline results as JSON lines in ``results`` with one row of ``metadata`` beside them; returns the path, by default named by the time."""
+    path = path or f"{folder}/results_{datetime.now():%Y%m%d_%H%M%S}"
+    rows.write.mode("overwrite").json(f"{path}/results")
+    told = rows.sparkSession.read.schema(schemas.PIPELINE_ROW).json(f"{path}/results").agg(F.count("*").cast("int").alias("total_count"))
+    told.select(F.current_timestamp().cast("string").alias("created_at"), "total_count", F.lit(model_size).alias("model_size")).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    return path
+
+
+def write_results_document(rows: DataFrame, path: str, model_size: str = "large-v3") -> None:
+    """The same as one document with ``metadata`` and ``results``, for result sets that fit in one row."""
     own = rows.agg(F.collect_list(F.struct(*rows.columns)).alias("results"), F.count("*").cast("int").alias("n"))
     metadata = F.struct(F.current_timestamp().cast("string").alias("created_at"), F.col("n").alias("total_count"), F.lit(model_size).alias("model_size"))
     own.select(metadata.alias("metadata"), "results").coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """What either of these wrote, or one such document in a file."""
+    if _exists(spark, f"{path}/results"):
+        return spark.read.schema(schemas.PIPELINE_ROW).json(f"{path}/results")
     return spark.read.schema(schemas.RESULTS_DOCUMENT).option("multiLine", True).json(path).select(F.inline("results"))
 
 

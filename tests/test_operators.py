@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from malgeul import schemas
-from malgeul.operators import correct as fix, evaluate, review, segments as seg
+from malgeul.__main__ import main
+from malgeul.operators import correct as fix, evaluate, review, segments as seg, triage
 from malgeul.plans import label as labels_plan
-from malgeul.plans.providers import model_provider, table_provider
+from malgeul.plans.providers import model_provider, recognizer, table_provider
 from malgeul.sources import io, xlsx
 from malgeul.streaming.incremental import correct_stream, read_transcripts, triaged
 
@@ -39,6 +40,65 @@ def test_correct_batch(spark):
     assert fix.correct(rows.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id(spark):
+    """Each row has its own candidates and output, also where ids or whole rows are repeated; the default provider changes nothing."""
+    rows = [("a", "abc one 12 now", -0.1), ("a", "xyz two 12 now", -0.1), ("b", "same 12345", -0.2), ("b", "same 12345", -0.2), ("c", "금\x01\x02 98765 원", -0.1)]
+    frame = asr(spark, [*rows, *((f"x{i}", "그냥 말", -1.0 - i) for i in range(20))])
+    made = [r for r in fix.correct(frame).collect() if r["utt_id"] in "abc"]
+    assert sorted((r["utt_id"], r["text_raw"], r["decision"], len(r["issues"])) for r in made) == sorted((u, t, "AUTO_FIX", 0) for u, t, _ in rows)
+    assert all(r["text_avail"] == r["text_raw"] for r in made)
+    start = rows[-1][1].index("98765")
+    cands = spark.createDataFrame([("c", start, start + 5, "98765", [("98766", 0.9), ("x", 0.1)]), ("a", 8, 10, "nothing", [("13", 0.9)])], f"utt_id string, span_start int, span_end int, span string, candidates array<{schemas.CANDIDATE}>")
+    told = {r["utt_id"]: r["text_avail"] for r in fix.correct(frame, table_provider(cands)).collect()}
+    assert told["c"] == rows[-1][1].replace("98765", "98766") and told["b"] == "same 12345"
+
+
+def test_recognizer(spark):
+    def load():
+        return lambda samples, rate: [{"text": f"{len(samples)}@{rate}", "start": 0.0, "end": 1.0, "avg_logprob": 1 / len(samples), "no_speech_prob": 0.0, "compression_ratio": 1.0, "temperature": 0.0}]
+
+    rows = spark.createDataFrame([("a", [0.1, 0.2], 16000), ("b", None, 16000), ("c", [], 8000)], "utt_id string, samples array<float>, sampling_rate int")
+    got = {r["utt_id"]: r for r in recognizer(load)(rows).collect()}
+    assert got["a"]["text"] == "2@16000" and got["a"]["error"] is None and got["b"]["error"] == "no audio" and got["c"]["error"]
+    whole = spark.createDataFrame([("a", "x", -0.1, 1.0, 2.0, None), ("b", "y", -0.1, 1.0, 2.0, "no")], "utt_id string, text string, avg_logprob double, compression_ratio double, duration double, error string")
+    assert [tuple(r)[1:5] for r in labels_plan.transcription_errors(whole).orderBy("utt_id").collect()] == [("x", -0.1, 1.0, 2.0), ("[ERROR]", -1.0, 0.0, 0.0)]
+    kept, failed = labels_plan.without_errors(whole)
+    assert kept.count() == 1 and failed == 1
+
+
+def test_unknown_buckets_and_numbers(spark):
+    rows = spark.createDataFrame([("A",), ("X",)], "bucket string")
+    assert triage.bucket_statistics(rows).first()["total"] == 2
+    with pytest.raises(Exception, match="unknown bucket: X"):
+        triage.bucket_statistics(rows, strict=True).collect()
+    values = [i * 7919 % 1000 for i in range(1000)]
+    made = review.numbered(spark.createDataFrame([(v,) for v in values], "v int").repartition(5), ["v"]).collect()
+    assert sorted((r["v"], r["row_no"]) for r in made) == [(v, v + 1) for v in range(1000)] and review.numbered(rows.limit(0), ["bucket"]).count() == 0
+    fixes = spark.createDataFrame([("a", 0, 1, "z", 1), ("a", 0, 1, "b", 2)], "utt_id string, start int, end int, new string, place int")
+    assert review.apply_resolutions(spark.createDataFrame([("a", "xy")], "utt_id string, text_raw string"), fixes).first()["text_fixed"] == "by"
+
+
+def test_stored_kinds(spark):
+    """Spans, issues, outputs and resolutions as JSON and back."""
+    made = fix.correct(asr(spark, TEXTS)).select(F.struct("*").alias("v"))
+    back = made.select("v", schemas.from_json(schemas.as_json(F.col("v")), "output").alias("b"))
+    assert back.count() == 6 and back.filter(schemas.as_json(F.col("v")) != schemas.as_json(F.col("b"))).count() == 0
+    issue = made.select(F.explode("v.issues").alias("v")).select("v", schemas.from_json(schemas.as_json(F.col("v")), "issue").alias("b"))
+    assert issue.count() and issue.filter(schemas.as_json(F.col("v")) != schemas.as_json(F.col("b"))).count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    path = lambda name: str(tmp_path / name)
+    asr(spark, TEXTS).write.json(path("in"))
+    main(["correct", path("in"), path("issues"), path("available")], spark)
+    main(["export-review", path("issues"), path("book.xlsx")], spark)
+    main(["import-review", path("book.xlsx"), path("done"), path("finals"), "--transcripts", path("in")], spark)
+    main(["results", path("in"), "--output", path("out")], spark)
+    told = capsys.readouterr().out.split("\n")
+    assert told[0].endswith("texts") and told[1] == f"{spark.read.json(path('issues')).count()} rows" and io.read_results(spark, path("out")).count() == 6
+    assert spark.read.json(path("out") + "/metadata").first()["total_count"] == 6
+
+
 def test_records_defaults(spark):
     rows = spark.createDataFrame([("s", "1", None, "raw"), (None, None, "given", None)], "speaker_id string, sentence_id string, text string, text_raw string")
     got = [tuple(r)[:4] for r in fix.records(rows).collect()]
@@ -125,7 +185,9 @@ def test_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "available")).filter("text_avail is null").count() == 0
     results = labels_plan.results(rows.withColumn("text", F.col("text_raw")))
     io.write_results(results, str(tmp_path / "results"))
-    assert sorted(map(str, io.read_results(spark, str(tmp_path / "results")).collect())) == sorted(map(str, results.collect()))
+    io.write_results_document(results, str(tmp_path / "document"))
+    for name in ("results", "document"):
+        assert sorted(map(str, io.read_results(spark, str(tmp_path / name)).collect())) == sorted(map(str, results.collect()))
     assert io.read_bucket(spark, str(tmp_path / "missing.json")).count() == 0
     (tmp_path / "b.json").write_text(json.dumps([{"speaker_id": "s", "sentence_id": "2", "text_raw": "x", "bucket": "A"}, {"speaker_id": "s", "sentence_id": "1", "text_raw": "y"}]))
     files = io.read_buckets(spark, [str(tmp_path / "b.json"), str(tmp_path / "no.json")])

@@ -2,13 +2,15 @@
 
 import math
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from malgeul.functions import decide, normalize, numbers, spans
 from malgeul.functions.textexpr import collapse, match_offsets, replace_with, strip
-from malgeul.operators import triage
+from malgeul.operators import quantiles, triage
 
 
 def column(spark, values, kind, build):
@@ -60,7 +62,7 @@ NORMALIZED = [
     ("코로나19가", "코로나십 구가"), ("3명 이상", "세 명이상"), ("가격은 2만원", "가격은이 만 원"), ("3.14", "삼.십 사"), ("5KM", "오KM"), ("5km", "오 키로미터"),
     ("pokm", "피오케이엠"), ("3만여 곡", "삼 만 여곡"), ("5만1300명", "오 만 천 삼백 명"), ("350억원", "삼백 오십 억 원"), ("1,234명", "천 이백 삼십 사 명"),
     ("3시 30분", "세 시 삼십 분"), ("13시", "십 삼 시"), ("제3회", "제 삼 회"), ("출·퇴근", "출퇴근"), ("자작나무숲에", "자작나무 숲에"), ("잣나무숲", "잣나무숲"),
-    ("대통령배", "대통령 배"), ("빈차", "빈 차"), ("사이 번호", "사이번호"), ("10,20개", "천 이십 개"), ("1번", "한 번"), (None, ""), ("", ""), ("9" * 25 + "명", None),
+    ("대통령배", "대통령 배"), ("빈차", "빈 차"), ("사이 번호", "사이번호"), ("10,20개", "천 이십 개"), ("1번", "한 번"), (None, ""), ("", ""), ("9" * 25 + "명", " ".join("구" * 25) + " 명"),
     ("형사 3부의", "형사 삼 부의"), ("9대와 12대", "아홉 대와 십 이 대"), ("국민체육공원에서", "국민 체육공원에서"), ("두배", "두배"), ("50% 할인\x01\x02\x03", "오십 퍼센트  할인"),
 ]
 
@@ -98,6 +100,46 @@ def test_spans(spark):
             assert s["text"] == text[s["start"] : s["end"]] and s["left"] == text[max(0, s["start"] - 4) : s["start"]] and s["right"] == text[s["end"] : s["end"] + 4]
 
 
+def plain_spans(text):
+    """Every match against all that the rules before it have taken."""
+    rules = [("U1", spans.ADDRESS), ("U1", spans.EMAIL), ("U1", spans.SPOKEN_ADDRESS), ("E2", spans.ALPHANUMERIC), ("E2", spans.LATIN), ("N3", spans.DIGIT_RUN), ("N3", spans.HANGUL_NUMERALS)]
+    out = []
+    for tag, pattern in rules:
+        new = [m.span() for m in re.finditer(pattern.replace("(?Ud)", ""), text)]
+        if pattern == spans.HANGUL_NUMERALS:
+            after, before = (lambda e: text[e : e + 5]), (lambda a: text[max(0, a - 20) : a])
+            new = [(a, e) for a, e in new if e - a > 1 and (any(after(e).startswith(w) for w in spans.NUMBER_SUFFIXES) or any(w in before(a) for w in spans.NUMBER_PREFIXES))]
+        out += [(a, e, tag) for a, e in new if all(e <= b or a >= d for b, d, _ in out)]
+    return sorted(out)
+
+
+def test_spans_equal_all_pairs():
+    rng = random.Random(2)
+    pieces = ["www.a.com", "http://x.org/q", "me@b.net", "더블유더블유", "점 컴", "AB12", "12ab", "abc", "x", "1,234.5", "7", "이십", "일이삼", "명", " ", " ", "번호", "가", ".", "\x01", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 14)))
+        assert spans.spans_of(text) == plain_spans(text), text
+
+
+def test_control_characters_keep_places(spark):
+    text = "금\x01\x02 98765 원 ab\x03c"
+    found, offsets = spark.range(1).select(spans.find_spans(F.lit(text), 3), match_offsets(F.lit(text), r"[a-z\x05]+|\d+")).first()
+    assert [(s["start"], s["text"], s["left"], s["right"]) for s in found] == [(4, "98765", "\x01\x02 ", " 원 "), (12, "ab", "원 "[-2:] and text[9:12], "\x03c")]
+    assert all(text[m["start"] : m["end"]] == m["text"] for m in offsets) and [m["text"] for m in offsets][-1] == "ab\x03c"
+
+
+def test_exact_percentiles(spark, monkeypatch):
+    rng = random.Random(4)
+    many = [rng.choice([rng.gauss(0, 1), 5.0, 10.0 ** rng.randint(-3, 3), -1e-320]) for _ in range(600)]
+    for values in (many, [1.0] * 900 + [2.0], [-math.inf, *many[:300], math.inf], [3.0] * 700):
+        rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(3)
+        want = [np.percentile(values, 100 * p) for p in (0.0, 0.031, 0.5, 0.77, 1.0)]
+        for few in (100_000, 50):
+            monkeypatch.setattr(quantiles, "FEW", few)
+            assert quantiles.exact_percentiles(rows, "x", (0.0, 0.031, 0.5, 0.77, 1.0)) == pytest.approx(want, rel=1e-12, nan_ok=True)
+    assert quantiles.exact_percentiles(rows.limit(0), "x", (0.5,)) == [None]
+
+
 def test_regex_helpers(spark):
     assert column(spark, ["a1b22", "", "x"], "string", lambda c: replace_with(c, r"(\d)(\d)?", 2, lambda g: F.concat(F.lit("<"), g[1], g[0], F.lit(">")))) == ["a<1>b<22>", "", "x"]
     assert [[(m["start"], m["end"], m["text"]) for m in x] for x in column(spark, ["😀12가3", "", "12"], "string", lambda c: match_offsets(c, r"\d+"))] == [[(1, 3, "12"), (4, 5, "3")], [], [(0, 2, "12")]]

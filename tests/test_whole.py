@@ -2,7 +2,6 @@
 
 from oracle_check import connect, same
 
-from malgeul.llm import license_scan, url_filter
 from malgeul.plans import catalog, oracle
 from malgeul.sources import io
 
@@ -34,22 +33,3 @@ def test_bucket_files_of_all_splits(spark, tmp_path):
     assert sorted(map(tuple, made.collect()), key=lambda r: r[1]) == [*rows[:3], (None, "4", "unknown")]
     io.write_buckets(spark.createDataFrame([], "split string, sentence_id string, bucket string"), f"{tmp_path}/none")
     assert io.read_written_buckets(spark, f"{tmp_path}/none").count() == 0
-
-
-def test_license_body_lines_stay(spark):
-    mit, bsd = license_scan._MIT, license_scan._BSD_HEAD + license_scan._BSD_THIRD + license_scan._BSD_TAIL
-    texts = [
-        (1, mit.replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS"), "MIT"), (2, mit.replace("above copyright notice", "above\ncopyright notice"), "MIT"),
-        (3, bsd.replace("THE COPYRIGHT HOLDER OR", "THE\n * COPYRIGHT HOLDER OR"), "BSD-3-Clause"), (4, "Copyright Some One\nCopyright 2020 x\n" + mit, "MIT"),
-    ]
-    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
-    got = license_scan.scan(docs, license_scan.known_digests(spark)).collect()
-    assert {r["doc_id"]: r["license_id"] for r in got} == {i: n for i, _, n in texts}
-
-
-def test_url_folders_keep_their_case(spark):
-    entries = spark.createDataFrame([("Example.ORG/Blog", 1, "add", "x"), ("Other.net", 1, "add", "y"), (None, 1, "add", "z")], "pattern string, dated int, action string, category string")
-    urls = ["http://example.org/Blog/1", "http://EXAMPLE.org/Blog", "http://example.org/blog/1", "http://a.OTHER.net/Q"]
-    pages = spark.createDataFrame([(i, u, 2) for i, u in enumerate(urls)], "page_id long, url string, fetched int")
-    got = {r["page_id"]: (r["blocked"], r["pattern"]) for r in url_filter.evaluate(pages, entries).collect()}
-    assert got == {0: (True, "example.org/Blog"), 1: (True, "example.org/Blog"), 2: (False, None), 3: (True, "other.net")}
