@@ -324,14 +324,14 @@ def _pack(key: np.ndarray, whose: np.ndarray, slot: np.ndarray, los: np.ndarray,
 
     def put(some: np.ndarray, to: np.ndarray, sure: bool, counts: tuple | None) -> None:
         at = np.flatnonzero(some)
-        at = at[np.argsort(to[at], kind="stable")]
+        at = at[np.lexsort((slot[at], whose[at], to[at]))]  # by set, so that one bit says whether an entry is of the next one
         cuts = np.flatnonzero(np.concatenate([[True], to[at][1:] != to[at][:-1]])) if len(at) else at
         for a, b in zip(cuts, np.append(cuts[1:], len(at)), strict=True):
             own = at[a:b]
             sets, place = np.unique(whose[own], return_inverse=True)
             keys = _low_bytes(bucket[own] << _KEY_BITS | (key[own] & np.uint64((1 << _KEY_BITS) - 1)).view(np.int64), 8 if sure else _KEY_BITS // 8)
             told = [c[own].astype(np.uint32).tobytes() if counts else b"" for c in counts or (own, own)]
-            rows.append((int(to[own[0]]), sure, keys, place.astype(np.uint16).tobytes(), _short_slots(slot[own]), los[sets].tobytes(), *told))
+            rows.append((int(to[own[0]]), sure, keys, np.packbits(np.diff(place, prepend=0).astype(bool)).tobytes(), _short_slots(slot[own]), los[sets].tobytes(), *told))
 
     put(~common, bucket, False, None)
     if common.any():
@@ -381,7 +381,7 @@ def _shared_of(group: pa.Table) -> pa.Table:
     rows of either kind.  A key without F rows is of no use."""
     kinds: dict[bool, list] = {False: [], True: []}
     for r in group.to_pylist():
-        n = len(r["whose"]) // 2
+        n = len(r["keys"]) // (8 if r["sure"] else _KEY_BITS // 8)
         raw = np.zeros((n, 8), np.uint8)
         raw[:, : len(r["keys"]) // n] = np.frombuffer(r["keys"], np.uint8).reshape(n, -1)
         key = raw.view(np.int64).ravel()
@@ -390,7 +390,7 @@ def _shared_of(group: pa.Table) -> pa.Table:
         slot = _long_slots(r["slots"], n)
         d = slot >> _D & 1
         counts = [np.frombuffer(r[c], np.uint32).astype(np.int64) for c in ("n_f", "n_d")] if r["n_f"] else [1 - d, d]
-        kinds[r["sure"]].append((key, np.frombuffer(r["sets"], np.int64)[np.frombuffer(r["whose"], np.uint16)], slot, *counts, np.full(n, bool(r["n_f"]))))
+        kinds[r["sure"]].append((key, np.frombuffer(r["sets"], np.int64)[np.cumsum(np.unpackbits(np.frombuffer(r["whose"], np.uint8), count=n))], slot, *counts, np.full(n, bool(r["n_f"]))))
     none = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]
     grouped, sure = ([np.concatenate(c) for c in zip(none, *kinds[k], strict=True)] for k in (False, True))
     if len(grouped[0]):
