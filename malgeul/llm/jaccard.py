@@ -561,10 +561,11 @@ def _met(left: DataFrame, right: DataFrame, columns: tuple[str, ...], more: Colu
 
 
 def _pairs_left(active: DataFrame, told: DataFrame, parts: int) -> DataFrame:
-    """The same for sets that were cut anew, each pair looked up by its cheaper row: pairs a < b, ``sure`` if they are linked.
+    """The same for sets that were cut anew, each pair looked up by its cheaper row: pairs a < b, still to be verified.
 
     Where a key makes many pairs, rows told apart by few elements from one ``pivot`` (``told``: node, pivot, delta) are compared by
-    these, exactly, as they meet; only links come out.  Of other rows those come out that their private elements don't keep apart."""
+    the codes of these as they meet.  Codes of two rows never differ in more places than their elements, so no link is lost, and few other
+    pairs come out.  Of other rows those come out that their private elements don't keep apart."""
     apart = F.col("p_x") + F.col("p_y")
     delta = F.size("delta_x") + F.size("delta_y") - 2 * F.size(F.array_intersect("delta_x", "delta_y"))
     one = F.coalesce(F.col("pivot_x") == F.col("pivot_y"), F.lit(False))
@@ -579,16 +580,16 @@ def _pairs_left(active: DataFrame, told: DataFrame, parts: int) -> DataFrame:
     looks = rows.select("key", *_SIDE, F.explode(kinds).alias("k")).filter("k.on").select("key", "k.d", *_SIDE, "k.work")
     members = rows.filter((F.col("d") & F.col("open_d")) | (~F.col("d") & F.col("open_f"))).withColumn("work", F.when(F.col("d"), F.col("work_d")).otherwise(F.col("work_f")))
     few, many = F.col("work") <= MANY_PAIRS, F.col("work") > MANY_PAIRS
-    plain = _met(looks.filter(few), members.filter(few), _SIDE, cheaper & within(apart)).select("node_x", "node_y", F.lit(False).alias("sure"))
+    plain = _met(looks.filter(few), members.filter(few), _SIDE, cheaper & within(apart)).select("node_x", "node_y")
     wide = lambda x: x.filter(many).join(told, "node", "left")
-    hot = _met(wide(looks), wide(members), (*_SIDE, "pivot", "delta"), close).select("node_x", "node_y", one.alias("sure"))
-    ends = plain.unionByName(hot).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), "sure")
-    return ends.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    hot = _met(wide(looks), wide(members), (*_SIDE, "pivot", "delta"), close).select("node_x", "node_y")
+    return plain.unionByName(hot).select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
 def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame, parts: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(groups for ``_allocated``, nodes whose segments don't suffice, ``node, pivot, delta``) of ``nodes(node, label)`` without
-    the elements that only one of them has."""
+    the elements that only one of them has.  ``delta`` holds 16 bits of each element in which a row and its pivot differ, as
+    it travels with every open signature."""
     nodes = materialize(nodes, "nodes", parts=parts)
     own = materialize(_some(elements, nodes.select("node")).join(nodes, "node"), "own", parts=parts)
     items = own.select("node", F.explode("elements").alias("item"))
@@ -600,7 +601,9 @@ def _cut_anew(elements: DataFrame, nodes: DataFrame, pivots: DataFrame, parts: i
     discard(own)
     of_pivot = elements.select(F.col("node").alias("pivot"), F.col("elements").alias("whole"))
     near = reduced.select("node", "kept").join(pivots, "node").join(of_pivot, "pivot")
-    told = near.select("node", "pivot", F.concat(F.array_except("kept", "whole"), F.array_except("whole", "kept")).alias("delta"))
+    apart = F.concat(F.array_except("kept", "whole"), F.array_except("whole", "kept"))
+    code = lambda x: (x.bitwiseAND(0xFFFF) - 0x8000).cast("short")
+    told = near.select("node", "pivot", F.array_distinct(F.transform(apart, code)).alias("delta"))
     told = materialize(told, "delta", parts=parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -701,7 +704,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     again = materialize(_allocated(groups), "active", batch=256, parts=parts)
     pairs = materialize(_pairs_left(again, told, parts), "pairs", parts=parts)
     stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-    edges = stars.unionByName(pairs.filter("sure").select("a", "b")).unionByName(_compared(pairs.filter("not sure"), elements).filter("linked").select("a", "b"))
+    edges = stars.unionByName(_compared(pairs, elements).filter("linked").select("a", "b"))
     if (more := _links_by_elements(docs, classes, thin, parts)) is not None:
         edges = edges.unionByName(more)
     labels = roots(edges, parts)
