@@ -47,7 +47,14 @@ def _value_at(rows: DataFrame, rank: int, n: int) -> float:
 def exact_percentiles(rows: DataFrame, column: str, shares: tuple[float, ...]) -> list[float | None]:
     """The percentiles of a column, interpolated linearly between neighbours; nulls don't count; NaN if any value is, null
     without values."""
-    own = rows.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    values = rows.select(F.col(column).cast("double").alias("v")).persist()  # read many times, and may come from spans of whole texts
+    try:
+        return _percentiles(values.filter("v is not null"), shares)
+    finally:
+        values.unpersist()
+
+
+def _percentiles(own: DataFrame, shares: tuple[float, ...]) -> list[float | None]:
     n, odd = own.agg(F.count("*"), F.coalesce(F.max(F.isnan("v")), F.lit(False))).first()
     if not n:
         return [None for _ in shares]

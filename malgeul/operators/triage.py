@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from malgeul.functions.spans import find_spans, risk_score
-from malgeul.functions.textexpr import U, either, let, strip, words
+from malgeul.functions.spans import text_risk
+from malgeul.functions.textexpr import U, let, strip, words
 from malgeul.operators.quantiles import exact_percentiles
 
 
@@ -96,11 +96,12 @@ def summary_lines(statistics: DataFrame, buckets: tuple[str, ...] = ("A", "B", "
 
 def risk_logprob(text: Column) -> Column:
     """What stands for a missing log probability: the more risky spans, the lower."""
-    return -1.0 - risk_score(find_spans(either(text), 0)) * 0.1
+    return -1.0 - text_risk(text) * 0.1
 
 
 def with_logprob(rows: DataFrame, text: str = "text_raw", column: str = "avg_logprob") -> DataFrame:
-    return rows.withColumn("logprob", F.coalesce(F.col(column), risk_logprob(F.col(text))))
+    missing = F.when(F.col(column).isNull(), F.col(text))  # a Python function gets all rows: other texts need not go there
+    return rows.withColumn("logprob", F.coalesce(F.col(column), risk_logprob(missing)))
 
 
 def percentile_thresholds(rows: DataFrame, p: Percentiles = Percentiles(), column: str = "logprob") -> DataFrame:

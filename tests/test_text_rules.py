@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,3 +204,34 @@ def test_prompts_and_candidates(spark):
     rows = spark.createDataFrame([([("a", 0.5), ("b", 0.9), ("a", 0.7), ("c", 0.9)],)], "c array<struct<text:string,score:double>>")
     got = rows.select(decide.ranked(F.col("c")), decide.rank_scores(F.array(F.lit("x"), F.lit("y"))), decide.review_cell(F.col("c"), 2)).first()
     assert [tuple(x) for x in got[0]] == [("b", 0.9), ("c", 0.9), ("a", 0.7)] and [tuple(x) for x in got[1]] == [("x", 1.0), ("y", 0.5)] and got[2] == "a (0.500) | b (0.900)"
+
+
+def test_spans_of_many_texts(spark):
+    """Places, contexts, gaps and scores of a chunk of texts are those of each text by itself, whatever stands next to it."""
+    rng = random.Random(5)
+    pieces = ["www.a.com", "http://x.org/q", "me@b.net", "AB12", "12ab", "abc", "x", "1,234.5", "7", "-", "..", " ", " ", ",", "\x01", "é", "ñab", "日本", "😀", "이십", "명", "번호", "٣", "²", ".kr", "a1"]
+    for _ in range(400):
+        texts = [None if rng.random() < 0.05 else "".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(rng.randint(0, 8))]
+        found = spans._found(pa.array(texts, pa.string()))
+        before, tail = found.gaps()
+        told = list(zip(*(x.tolist() for x in (found.row, found.start, found.end, found.tag)), *(x.to_pylist() for x in (*found.contexts(4), before)), strict=True))
+        for r, text in enumerate(t or "" for t in texts):
+            own = [x[1:] for x in told if x[0] == r]
+            assert [(a, b, spans._TAGS[tag]) for a, b, tag, *_ in own] == spans.spans_of(text)
+            assert all((left, right) == (text[max(0, a - 4) : a], text[b : b + 4]) for a, b, _, left, right, _ in own)
+            assert "".join(gap + text[a:b] for a, b, _, _, _, gap in own) + tail[r].as_py() == text
+    assert all(spans._OTHER[chr(c).encode()[0]] for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000 and (chr(c).isdecimal() or 0xAC00 <= c <= 0xD7A3))
+    got = column(spark, ["www.a.com ab 12", "", None], "string", spans.text_risk)
+    assert got == [3.5, 0.0, 0.0]
+
+
+def test_spans_are_made_in_chunks(spark, monkeypatch):
+    """However many spans a batch of rows has, those of a few texts are made at a time, and none for scores."""
+    seen = []
+    whole = spans._found
+    monkeypatch.setattr(spans, "_found", lambda texts: seen.append(len(texts)) or whole(texts))
+    monkeypatch.setattr(spans, "CHUNK", 100)
+    texts = pa.array(["ab 12 " * 10] * 7 + [None, "x" * 500, ""])
+    assert spans._finder.__wrapped__(0).func(texts).to_pylist()[6][-1]["end"] == 59 and max(seen) <= 3
+    monkeypatch.setattr(spans, "_structs", None)
+    assert spans._scorer.__wrapped__().func(texts).to_pylist() == [15.0] * 7 + [0.0, 1.0, 0.0]
