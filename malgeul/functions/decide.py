@@ -30,7 +30,7 @@ TASKS = ("STW_CANON", "STW_SPAN", "STW_URL")
 def edit_ratio(a: Column, b: Column) -> Column:
     """Edit distance over the longer length; 0 for two empty texts."""
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, 0.0).otherwise(F.levenshtein(a, b) / longest)
+    return F.when(a == b, 0.0).otherwise(F.levenshtein(a, b) / longest)  # equal texts can be long: the distance takes the square of that
 
 
 def margin(candidates: Column) -> Column:
@@ -51,12 +51,15 @@ def span_action(tag: Column, bucket: Column, raw: Column, recommended: Column, l
     """AUTO_FIX, NEEDS_REVIEW or PASS for one span."""
 
     def rules(ratio: Column) -> Column:
-        number = bucket.isin(list(guards.number_buckets)) & (lead >= guards.number_margin) & (ratio <= guards.number_change)
-        latin = bucket.isin(list(guards.latin_buckets)) & (lead >= guards.latin_margin) & (ratio <= guards.latin_change) & (~mixed_script(recommended) | mixed_script(raw))
-        return (
-            F.when(only_symbols(recommended) | (ratio > guards.max_change) | tag.isin("U1", "OOV"), "NEEDS_REVIEW")
+        near, said = ratio <= guards.max_change, ~only_symbols(recommended)
+        number = bucket.isin(list(guards.number_buckets)) & (lead >= guards.number_margin) & (ratio <= guards.number_change) & near & said
+        script = (raw == recommended) | ~mixed_script(recommended) | mixed_script(raw)
+        latin = bucket.isin(list(guards.latin_buckets)) & (lead >= guards.latin_margin) & (ratio <= guards.latin_change) & near & said & script
+        return (  # the cheap tests first: patterns cost most
+            F.when(tag.isin("U1", "OOV"), "NEEDS_REVIEW")
             .when(tag == "N3", F.when(number, "AUTO_FIX").otherwise("NEEDS_REVIEW"))
             .when(tag == "E2", F.when(latin, "AUTO_FIX").otherwise("NEEDS_REVIEW"))
+            .when(~near | ~said, "NEEDS_REVIEW")
             .otherwise("PASS")
         )
 

@@ -264,10 +264,10 @@ def find_spans(text: Column, context: int = CONTEXT) -> Column:
     return _finder(context)(text)
 
 
-def with_spans(rows: DataFrame, text: str, context: int | None = CONTEXT, look_up: Callable[[Found, pa.RecordBatch], pa.Array] | None = None) -> DataFrame:
+def with_spans(rows: DataFrame, text: str, context: int | None = CONTEXT, look_up: Callable[[Found, pa.RecordBatch], tuple[pa.Array, pa.Array]] | None = None) -> DataFrame:
     """``rows`` with ``spans`` and ``tail``: as ``find_spans``, each with the text ``before`` it up to the span before, and the text after the last one.
-    Without a context there is no ``left, right``.  ``look_up`` tells the ``candidates`` of a chunk's spans.  A few megabytes are
-    held at once, however many spans a batch of rows has."""
+    Without a context there is no ``left, right``.  ``look_up`` tells the ``candidates`` of a chunk's spans, and those of its rows without spans
+    (``whole_candidates``).  A few megabytes are held at once, however many spans a batch of rows has."""
     one = "`start`: int, `end`: int, text: string, tag: string" + (", `left`: string, `right`: string" if context is not None else "") + ", before: string"
     one += f", candidates: array<{schemas.CANDIDATE}>" if look_up else ""
 
@@ -278,10 +278,13 @@ def with_spans(rows: DataFrame, text: str, context: int | None = CONTEXT, look_u
                 own = batch.slice(*part)
                 found = _found(texts.slice(*part))
                 before, tail = found.gaps()
-                spans = found.lists(_structs(found, context, before, {"candidates": look_up(found, own)} if look_up else None))
-                yield pa.RecordBatch.from_arrays([*own.columns, spans, tail], [*own.schema.names, "spans", "tail"])
+                told = look_up(found, own) if look_up else ()
+                spans = found.lists(_structs(found, context, before, {"candidates": told[0]} if told else None))
+                yield pa.RecordBatch.from_arrays([*own.columns, spans, tail, *told[1:]], [*own.schema.names, *(f.name for f in added)])
 
     added = [StructField("spans", _parse_datatype_string(f"array<struct<{one}>>")), StructField("tail", _parse_datatype_string("string"))]
+    if look_up:
+        added.append(StructField("whole_candidates", _parse_datatype_string(f"array<{schemas.CANDIDATE}>")))
     return rows.mapInArrow(run, StructType([*(StructField(f.name, f.dataType) for f in rows.schema.fields), *added]))
 
 

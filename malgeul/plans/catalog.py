@@ -57,7 +57,7 @@ def e1_correct(spark, sf):
 
 @query
 def e1_decision_counts(spark, sf):
-    return fix.distributions(fix.correct(utterances(spark, sf)))
+    return fix.distributions(fix.decisions(utterances(spark, sf)))
 
 
 @query

@@ -11,7 +11,7 @@ from malgeul import schemas
 from malgeul.__main__ import main
 from malgeul.operators import correct as fix, evaluate, review, segments as seg, triage
 from malgeul.plans import label as labels_plan
-from malgeul.plans.providers import model_provider, recognizer, table_provider
+from malgeul.plans.providers import model_provider, recognizer, table_provider, unchanged
 from malgeul.sources import io, xlsx
 from malgeul.streaming.incremental import correct_stream, read_transcripts, triaged
 
@@ -227,3 +227,25 @@ def test_streams(spark, tmp_path):
     q = triaged(read_transcripts(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("triaged").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("triaged").groupBy("bucket").count().count() >= 2 and isinstance(spark.table("triaged").toPandas(), pd.DataFrame)
+
+
+def test_rows_decided_whole(spark, monkeypatch):
+    """Spans decided within their row, by a column or by packed entries, are as those decided one by one; they are not shuffled."""
+    rows = [*TEXTS, ("g", "ab cd 12345 ef", -0.02), ("h", "ab cd 12345 ef", -0.02), ("g", "xy ab", -0.02), ("i", "tel 12345678 or me@b.net", -0.02), ("j", " ".join(f"word{chr(97 + i)}" for i in range(20)), -0.01)]
+    frame = asr(spark, [*rows, *((f"x{i}", "그냥 말", -1.0 - i) for i in range(20))])
+    entries = [("g", 0, 2, [("ac", 0.9)]), ("g", 6, 11, [("12346", 0.9), ("x", 0.1)]), ("g", 6, 11, [("12340", 0.9), ("x", 0.1)]), ("g", 6, 11, None), ("h", 12, 14, []), ("b", 0, 5, [("안녕하세오", 0.9)]), ("b", 0, 5, [(None, None)])]
+    entries += [("i", 4, 12, [("12345679", float("nan")), ("1", 0.1)]), (None, 0, 1, [("q", 0.1)]), ("j", None, 5, [("q", 0.1)]), ("zz", 0, 1, [("q", 0.1)])]
+    entries += [("j", 6 * i, 6 * i + 5, [(f"word{chr(97 + i)}", 0.9)]) for i in range(20)] * 2
+    cands = spark.createDataFrame(entries, f"utt_id string, span_start int, span_end int, candidates array<{schemas.CANDIDATE}>")
+    key = lambda made: sorted(str(r) for r in made.collect())
+    for provider in (unchanged, table_provider(cands)):
+        plain = lambda asked, p=provider: p(asked)  # noqa: E731  without what tells whole rows
+        told = key(fix.correct(frame, plain))
+        assert key(fix.correct(frame, provider)) == told and len(told) == 31
+        assert key(fix.issues(frame, provider)) == key(fix.issues_of(fix.correct(frame, plain))) == key(fix.issues(frame, plain))
+        few = [c for c in fix.decisions(frame, provider).columns if c != "n_issues"]
+        made = fix.correct(frame, plain).select(*few, F.size("issues").alias("n_issues"))
+        assert key(fix.decisions(frame, provider).select(*few, "n_issues")) == key(made) == key(fix.decisions(frame, plain).select(*few, "n_issues"))
+        assert key(fix.distributions(fix.decisions(frame, provider))) == key(fix.distributions(fix.correct(frame, plain)))
+    assert "Exchange hash" not in fix.issues(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in fix.decisions(frame)._jdf.queryExecution().executedPlan().toString()
