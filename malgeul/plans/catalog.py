@@ -580,7 +580,7 @@ def x4_apply_resolutions(spark, sf):
 
 @query
 def x5_issues(spark, sf):
-    made = fix.issues_of(fix.correct(utterances(spark, sf)))
+    made = fix.issues(utterances(spark, sf))
     return made.select("utt_id", "tag", "span_start", "span_end", "raw_span", "context_marked_safe", "recommended", "user_fix")
 
 
