@@ -49,10 +49,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 def e1_correct(spark, sf):
     """Decisions over a batch of utterances with candidates from a table."""
     docs = utterances(spark, sf)
-    asked = fix.requests(fix.bucketed(fix.records(docs)))
+    asked = fix.requests(fix.records(docs), 0)
     cands = asked.select("utt_id", "span_start", "span_end", F.array(F.struct(F.concat("span", F.when(F.col("span_start") % 2 == 0, "").otherwise("x")).alias("text"), F.lit(0.9).alias("score"))).alias("candidates"))
-    made = fix.correct(docs, table_provider(cands))
-    return made.select("utt_id", "bucket", "decision", "text_avail", F.size("issues").alias("n_issues"), "audit.spans_detected", "audit.auto_fixed")
+    made = fix.decisions(docs, table_provider(cands))
+    return made.select("utt_id", "bucket", "decision", "text_avail", "n_issues", "audit.spans_detected", "audit.auto_fixed")
 
 
 @query
