@@ -22,10 +22,10 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from malgeul.llm.common import require
+from malgeul.llm.common import give_back, require
 
-#: Pre-tokens whose ids a worker keeps; the cache starts anew when it is full.
-CACHE = 500_000
+#: Pre-tokens whose ids a worker keeps, in two generations of half as many, and pairs of ids.
+CACHE = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -118,7 +118,7 @@ def merge_bytes(ids: list[int], pairs: Pairs) -> list[int]:
             r = ask(key)
         if r != rank:
             continue
-        token[i], token[j] = rank, -1
+        token[i], token[j] = r, -1  # not the equal rank of the entry, which would be a number of its own in each result that is kept
         k = right[i] = right[j]
         if k < n:
             left[k] = i
@@ -155,13 +155,17 @@ class Codec:
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.pairs = Pairs(self.index.get, self.bytes_of)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def piece(self, token: str) -> tuple[int, ...]:
-        raw = token.encode()
-        rank = self.index.get(raw)
-        ids = (rank,) if rank >= 0 else tuple(merge_bytes([self.single[b] for b in raw], self.pairs))
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
+        """The ids of a pre-token.  A full cache becomes the generation before, whose pre-tokens move on as they are met again: the rare ones go."""
+        ids = self.cache.get(token) or self.before.get(token)
+        if ids is None:
+            raw = token.encode()
+            rank = self.index.get(raw)
+            ids = (rank,) if rank >= 0 else tuple(merge_bytes([self.single[b] for b in raw], self.pairs))
+        if len(self.cache) >= CACHE // 2:
+            self.before, self.cache = self.cache, {}
         if len(token) <= 64:
             self.cache[token] = ids
         return ids
@@ -226,6 +230,7 @@ def round_trip(docs: DataFrame, codec: Codec | Broadcast, keep: tuple[str, ...]
     shared = codec if isinstance(codec, Broadcast) else docs.sparkSession.sparkContext.broadcast(codec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         own = shared.value
         digits = {rank: str(rank) for rank in own.bytes_of}
         for batch in batches:

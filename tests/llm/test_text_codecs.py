@@ -45,6 +45,21 @@ def test_byte_bpe_equals_tiktoken(spark):
     assert byte_bpe.round_trip(twice, codec).count() == 3
 
 
+def test_byte_bpe_cache(monkeypatch):
+    """Rare pre-tokens do not drive out a common one, the cache stays bounded, and equal ids are one number in what it keeps."""
+    monkeypatch.setattr(byte_bpe, "CACHE", 8)
+    ranks = {bytes([b]): b for b in range(256)} | {b"qq": 300, b"qqq": 301}
+    codec, asked = byte_bpe.Codec(ranks, P.PATTERN), []
+    get = codec.index.get
+    codec.index.get = lambda key: (asked.append(key), get(key))[1]
+    for i in range(40):
+        assert codec.decode(codec.encode(f"zqq r{i} zqq")) == f"zqq r{i} zqq".encode()
+        assert len(codec.cache) + len(codec.before) <= 8
+    assert asked.count(b"zqq") == 1
+    kept = [ids for ids in (*codec.cache.values(), *codec.before.values()) if 300 in ids]
+    assert kept and len({id(i) for ids in kept for i in ids if i == 300}) == 1
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("abé' \n\t1½-"), max_size=40))
 def test_byte_bpe_random(text):
