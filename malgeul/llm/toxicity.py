@@ -223,7 +223,7 @@ def best_cut(scores: list[tuple[float, bool]]) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SAMPLE) -> Model:
-    """A model from 0/1 labels, graded by ``grade``; without both kinds of labels everything is clean.
+    """A model from 0/1 labels, graded by ``grade``; without both kinds of labels, or so few that none can be held out from a fit to both, everything is clean.
 
     Rows of ``docs`` without a label are not used; null and empty texts have no features; repeated rows count once; other columns are
     ignored; either table may be empty."""
@@ -239,10 +239,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
     grades = grade(told, sizes, design, len(names))
     folds, scores = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in ids]), []
     for k in range(FOLDS):
+        if len(set((grades[folds != k] > 0).tolist())) < 2:
+            continue  # fitted on one kind of rows, it tells nothing of the others
         part = fit(rows_of(design, folds != k), grades[folds != k], names)
         weights = np.array([part.weights.get(f, 0.0) for f in names])
         at, what, count = rows_of(design, folds == k)
         scores += [(part.above(s)[0], bool(g > 0)) for s, g in zip(_sums(count * weights[what], at).tolist(), grades[folds == k], strict=True)]
+    if not scores:  # nothing tells from where on a row is graded
+        return Model({}, [30.0, 30.0])
     model = fit(design, grades, names)
     model.cut = best_cut(scores)
     return model
