@@ -95,8 +95,18 @@ def read_done(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter("utt_id is not null").select("utt_id").distinct()
 
 
+def _texts_beside(path: str) -> str:
+    return f"{path.rstrip('/')}_texts"
+
+
 def read_issues(spark: SparkSession, path: str) -> DataFrame:
-    rows = read_jsonl(spark, path, schemas.ISSUE)
+    """Issues of JSON lines that have their whole text, or whose texts are beside them, as ``write_outputs`` writes them: these are joined
+    by their digest, and only if ``context_full`` is used."""
+    rows = read_jsonl(spark, path, f"text_key string, {schemas.ISSUE}")
+    if _exists(spark, _texts_beside(path)):
+        texts = read_jsonl(spark, _texts_beside(path), "text_key string, text string").groupBy("text_key").agg(F.min("text").alias("text"))
+        rows = rows.join(texts, "text_key", "left").withColumn("context_full", F.coalesce("context_full", "text"))
+    rows = rows.select(*schemas.ISSUE_COLUMNS)
     empty = F.expr(f"cast(array() as array<{schemas.CANDIDATE}>)")
     return rows.withColumn("candidates", F.coalesce("candidates", empty)).withColumn("user_fix", F.coalesce("user_fix", F.lit("")))
 
@@ -114,12 +124,15 @@ def append_transcripts(rows: DataFrame, path: str, resume: bool = True) -> int:
 
 
 def write_outputs(made: DataFrame, issues_path: str, available_path: str) -> None:
-    """Issues and available texts as JSON lines, from one evaluation of ``made``."""
-    from malgeul.operators.correct import available, issues_of
+    """Issues and available texts as JSON lines, from one evaluation of ``made``.  The whole text of a row with issues is written once
+    beside them, not with each; the lines have its digest, ``text_key``."""
+    from malgeul.operators.correct import available
 
-    own = made.persist()
+    slim = F.transform("issues", lambda i: i.withField("context_full", F.lit(None).cast("string")))
+    own = made.withColumn("issues", slim).withColumn("text_key", F.md5("text_raw")).persist()
     try:
-        issues_of(own).write.mode("overwrite").json(issues_path)
+        own.select("text_key", F.inline("issues")).write.mode("overwrite").json(issues_path)
+        own.filter(F.size("issues") > 0).select("text_key", F.col("text_raw").alias("text")).write.mode("overwrite").json(_texts_beside(issues_path))
         available(own).write.mode("overwrite").json(available_path)
     finally:
         own.unpersist()

@@ -196,6 +196,21 @@ def test_files(spark, tmp_path):
     assert {r["bucket"]: r["n"] for r in review.bucket_counts(files[0]).collect()} == {"A": 1, "unknown": 1}
 
 
+def test_issue_files(spark, tmp_path):
+    """A text is written once, not with each of its issues, and comes back whole; it is not joined where it is not used."""
+    rows, path = asr(spark, [*TEXTS, ("again", TEXTS[0][1], TEXTS[0][2]), ("many", "ab 12 cd " * 30, TEXTS[0][2])]), str(tmp_path / "issues")
+    made = fix.correct(rows)
+    want = fix.issues_of(made)
+    io.write_outputs(made, path, str(tmp_path / "available"))
+    back = io.read_issues(spark, path)
+    assert back.columns == want.columns and sorted(map(str, back.collect())) == sorted(map(str, want.collect()))
+    assert "context_full" not in spark.read.json(path).columns
+    counted = back.groupBy("tag", "bucket").agg(F.sum("span_start"))
+    assert "Join" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    want.write.json(str(tmp_path / "whole"))
+    assert sorted(map(str, io.read_issues(spark, str(tmp_path / "whole")).collect())) == sorted(map(str, want.collect()))
+
+
 def test_datasets(spark, tmp_path):
     path = str(tmp_path / "d")
     with pytest.raises(FileNotFoundError):
