@@ -20,7 +20,7 @@ from malgeul.sources import io
 
 
 def _correct(spark: SparkSession, a: argparse.Namespace) -> str:
-    made = fix.correct(io.read_jsonl(spark, a.input, schemas.ASR), percentiles=Percentiles(a.red, a.orange, a.yellow), context=a.context)
+    made = fix.correct(io.read_jsonl(spark, a.input, schemas.ASR), percentiles=Percentiles(a.red, a.orange, a.yellow), context=a.context, texts=False)
     io.write_outputs(made, a.issues, a.available)
     return f"{spark.read.json(a.issues).count()} issues, {spark.read.json(a.available).count()} texts"
 

@@ -107,8 +107,8 @@ _OTHER[0xD8:0xE2] = _OTHER[0xEA:] = True
 #: What every address or e-mail has.
 _HINT = re.compile(rb"://|@|www\.|\.(?:com|net|org|kr|co\.kr|go\.kr|or\.kr|io|ai|xyz)")
 _TAGS = ("U1", "E2", "N3")
-#: Bytes of text that are searched at once.
-CHUNK = 1 << 20
+#: Bytes of text that are searched at once; their contexts take some hundred times that for a moment.
+CHUNK = 1 << 18
 
 
 @dataclass

@@ -13,6 +13,8 @@ from malgeul.schemas import CANDIDATE
 
 # Fixed value: what audits name as the version.
 VERSION = "correct_model_v1"
+#: Columns of available texts.
+AVAILABLE = ("utt_id", "speaker_id", "sentence_id", "text_raw", "text_avail", "bucket", "decision")
 
 
 def _column(rows: DataFrame, name: str, kind: str) -> Column:
@@ -125,10 +127,10 @@ def _marked(tag: Column, left: Column, span: Column, right: Column) -> Column:
     return F.when(tag == "CANON", F.concat(F.lit("⟦"), span, F.lit("⟧"))).otherwise(mark(left, span, right))
 
 
-def _issue(x: dict[str, Column]) -> list[Column]:
+def _issue(x: dict[str, Column], texts: bool = True) -> list[Column]:
     own = ["utt_id", "speaker_id", "sentence_id", "bucket"]
     made = {
-        "tag": x["tag"], "span_start": x["span_start"], "span_end": x["span_end"], "raw_span": x["span"], "context_full": F.col("text_raw"), "context_marked": x["marked"],
+        "tag": x["tag"], "span_start": x["span_start"], "span_end": x["span_end"], "raw_span": x["span"], "context_full": F.col("text_raw") if texts else F.lit(None).cast("string"), "context_marked": x["marked"],
         "context_marked_safe": mark_safe(x["marked"]), "candidates": x["candidates"], "recommended": x["recommended"], "user_fix": x["recommended"], "meta": F.col("meta"),
     }
     return [*map(F.col, own), *(c.alias(n) for n, c in made.items())]
@@ -148,7 +150,7 @@ def _row_columns(k_candidates: int, context: int) -> tuple[list[Column], Column]
     ], _audit(F.size("spans") == 0, F.size("spans"), F.size("own") - F.size("found"), k_candidates, context).alias("audit")
 
 
-def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: int = CONTEXT) -> DataFrame:
+def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: int = CONTEXT, texts: bool = True) -> DataFrame:
     """A row for each of ``base``: decision, text_avail (null if anything needs review), issues and audit, from its decided ``rows``."""
     marked = _marked(F.col("tag"), F.col("left"), F.col("span"), F.col("right"))
     fixed = F.col("action") == "AUTO_FIX"
@@ -162,7 +164,7 @@ def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: in
     whole, clear = F.col("n_spans") == 0, F.size("found") == 0
     audit = _audit(whole, F.col("n_spans"), F.size("fixes"), k_candidates, context)
     by_place = lambda a, b: F.when(a["span_start"] != b["span_start"], a["span_start"] - b["span_start"]).otherwise(b["span_end"] - a["span_end"])
-    issue = lambda x: F.struct(*_issue({n: x[n] for n in ("tag", "span_start", "span_end", "span", "marked", "candidates", "recommended")}))
+    issue = lambda x: F.struct(*_issue({n: x[n] for n in ("tag", "span_start", "span_end", "span", "marked", "candidates", "recommended")}, texts))
     return met.select(
         "utt_id", "speaker_id", "sentence_id", "text_raw", "bucket", F.when(clear, "AUTO_FIX").otherwise("NEEDS_REVIEW").alias("decision"),
         F.when(clear, apply_fixes(F.col("text_raw"), F.col("fixes"))).alias("text_avail"),
@@ -170,16 +172,17 @@ def outputs(rows: DataFrame, base: DataFrame, k_candidates: int = 5, context: in
     )
 
 
-def correct(rows: DataFrame, provider: Provider = unchanged, guards: Guards = Guards(), percentiles: Percentiles = Percentiles(), k_candidates: int = 5, context: int = CONTEXT) -> DataFrame:
-    """Recogniser rows to outputs, one for each row.  With a provider that must see each request by itself, equal rows are decided once."""
+def correct(rows: DataFrame, provider: Provider = unchanged, guards: Guards = Guards(), percentiles: Percentiles = Percentiles(), k_candidates: int = 5, context: int = CONTEXT, texts: bool = True) -> DataFrame:
+    """Recogniser rows to outputs, one for each row.  With a provider that must see each request by itself, equal rows are decided once.
+    Without ``texts`` the issues have a null ``context_full``: a row with many issues would else hold its text once for each."""
     base = bucketed(records(rows), percentiles)
     spans = _by_row(base, provider, context)
     if spans is None:
         base = keyed(base)
-        return outputs(decided(requests(base.dropDuplicates(["row_key"]), context), provider, guards), base, k_candidates, context)
+        return outputs(decided(requests(base.dropDuplicates(["row_key"]), context), provider, guards), base, k_candidates, context, texts)
 
     def issue(s: Column) -> Column:
-        return F.struct(*_issue({"tag": s["tag"], "span_start": s["start"], "span_end": s["end"], "span": s["text"], "marked": _marked(s["tag"], s["left"], s["text"], s["right"]), "candidates": s["candidates"], "recommended": s["recommended"]}))
+        return F.struct(*_issue({"tag": s["tag"], "span_start": s["start"], "span_end": s["end"], "span": s["text"], "marked": _marked(s["tag"], s["left"], s["text"], s["right"]), "candidates": s["candidates"], "recommended": s["recommended"]}, texts))
 
     own, audit = _row_columns(k_candidates, context)
     return _decided_rows(spans, provider, guards, context).select(*own, F.transform("found", issue).alias("issues"), audit)
@@ -215,7 +218,7 @@ def issues_of(made: DataFrame) -> DataFrame:
 
 
 def available(made: DataFrame) -> DataFrame:
-    return made.filter("text_avail is not null").select("utt_id", "speaker_id", "sentence_id", "text_raw", "text_avail", "bucket", "decision")
+    return made.filter("text_avail is not null").select(*AVAILABLE)
 
 
 def distributions(made: DataFrame) -> DataFrame:

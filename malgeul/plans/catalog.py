@@ -114,7 +114,7 @@ def s7_done_ids(spark, sf):
 def s8_issue_round_trip(spark, sf):
     from malgeul.sources.io import read_issues, write_outputs
 
-    made, path = fix.correct(utterances(spark, sf)), scratch(spark, "outputs")
+    made, path = fix.correct(utterances(spark, sf), texts=False), scratch(spark, "outputs")
     write_outputs(made, f"{path}/issues", f"{path}/available")
     return read_issues(spark, f"{path}/issues").groupBy("tag", "bucket").agg(F.count("*").alias("n"), F.sum("span_start").alias("starts"))
 

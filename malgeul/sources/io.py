@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +11,9 @@ from pyspark.sql.types import BinaryType, StructType
 from malgeul import schemas
 from malgeul.sources import xlsx
 
+#: How many files a task writes side by side before it sorts its rows by file.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -101,12 +105,14 @@ def _texts_beside(path: str) -> str:
 
 def read_issues(spark: SparkSession, path: str) -> DataFrame:
     """Issues of JSON lines that have their whole text, or whose texts are beside them, as ``write_outputs`` writes them: these are joined
-    by their digest, and only if ``context_full`` is used."""
+    by their digest, and only if ``context_full`` is used.  A missing ``context_marked_safe`` is made from ``context_marked``."""
+    from malgeul.functions.decide import mark_safe
+
     rows = read_jsonl(spark, path, f"text_key string, {schemas.ISSUE}")
     if _exists(spark, _texts_beside(path)):
         texts = read_jsonl(spark, _texts_beside(path), "text_key string, text string").groupBy("text_key").agg(F.min("text").alias("text"))
         rows = rows.join(texts, "text_key", "left").withColumn("context_full", F.coalesce("context_full", "text"))
-    rows = rows.select(*schemas.ISSUE_COLUMNS)
+    rows = rows.withColumn("context_marked_safe", F.coalesce("context_marked_safe", mark_safe(F.col("context_marked")))).select(*schemas.ISSUE_COLUMNS)
     empty = F.expr(f"cast(array() as array<{schemas.CANDIDATE}>)")
     return rows.withColumn("candidates", F.coalesce("candidates", empty)).withColumn("user_fix", F.coalesce("user_fix", F.lit("")))
 
@@ -123,19 +129,50 @@ def append_transcripts(rows: DataFrame, path: str, resume: bool = True) -> int:
     return n
 
 
-def write_outputs(made: DataFrame, issues_path: str, available_path: str) -> None:
-    """Issues and available texts as JSON lines, from one evaluation of ``made``.  The whole text of a row with issues is written once
-    beside them, not with each; the lines have its digest, ``text_key``."""
-    from malgeul.operators.correct import available
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``; without one, a folder with an empty file."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf, old, new = spark._jsc.hadoopConfiguration(), hadoop.Path(source), hadoop.Path(target)
+    here, there = old.getFileSystem(conf), new.getFileSystem(conf)
+    if not here.exists(old):
+        spark.createDataFrame([], "value string").write.mode("overwrite").text(target)
+        return
+    there.delete(new, True)
+    if new.getParent() is not None:
+        there.mkdirs(new.getParent())
+    same = here.getUri().equals(there.getUri())
+    if not (here.rename(old, new) if same else hadoop.FileUtil.copy(here, old, there, new, True, conf)):
+        raise OSError(f"could not move {source} to {target}")
 
-    slim = F.transform("issues", lambda i: i.withField("context_full", F.lit(None).cast("string")))
-    own = made.withColumn("issues", slim).withColumn("text_key", F.md5("text_raw")).persist()
+
+def write_outputs(made: DataFrame, issues_path: str, available_path: str) -> None:
+    """Issues and available texts as JSON lines in gzip files, from one evaluation of ``made``.  The whole text of a row with issues is written once
+    beside them, not with each; the lines have its digest, ``text_key``, and no ``context_marked_safe``, which follows from ``context_marked``.
+
+    Each row becomes its lines at once, and a task writes them to a file for each kind as they come: nothing is cached, sorted or read again.
+    ``made`` is best without the issues' texts, which aren't written (``correct(..., texts=False)``)."""
+    from malgeul.functions.textexpr import let
+    from malgeul.operators.correct import AVAILABLE
+
+    spark = made.sparkSession
+    kept = [c for c in schemas.ISSUE_COLUMNS if c not in ("context_full", "context_marked_safe")]
+    line = lambda kind, *fields: F.struct(F.lit(kind).alias("kind"), F.to_json(F.struct(*fields)).alias("line"))
+    issues = let(F.md5("text_raw"), lambda key: F.transform("issues", lambda i: line("issues", key.alias("text_key"), *(i[c].alias(c) for c in kept))))
+    text = F.when(F.col("decision") == "NEEDS_REVIEW", F.array(line("texts", F.md5("text_raw").alias("text_key"), F.col("text_raw").alias("text"))))
+    available = let(F.col("text_avail"), lambda t: F.when(t.isNotNull(), F.array(line("available", *(t.alias(c) if c == "text_avail" else F.col(c) for c in AVAILABLE)))))
+    empty = F.expr("cast(array() as array<struct<kind: string, line: string>>)")
+    lines = made.select(F.concat(*(F.coalesce(x, empty) for x in (issues, text, available))).alias("lines")).select(F.inline("lines"))
+    staged = f"{issues_path.rstrip('/')}_parts-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    before = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, "8")
     try:
-        own.select("text_key", F.inline("issues")).write.mode("overwrite").json(issues_path)
-        own.filter(F.size("issues") > 0).select("text_key", F.col("text_raw").alias("text")).write.mode("overwrite").json(_texts_beside(issues_path))
-        available(own).write.mode("overwrite").json(available_path)
+        lines.write.partitionBy("kind").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(staged)
+        for kind, path in (("texts", _texts_beside(issues_path)), ("available", available_path), ("issues", issues_path)):
+            _move(spark, f"{staged}/kind={kind}", path)
     finally:
-        own.unpersist()
+        spark.conf.set(WRITERS, before)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def write_results(rows: DataFrame, path: str | None = None, model_size: str = "large-v3", folder: str = ".") -> str:

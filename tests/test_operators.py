@@ -211,6 +211,23 @@ def test_issue_files(spark, tmp_path):
     assert sorted(map(str, io.read_issues(spark, str(tmp_path / "whole")).collect())) == sorted(map(str, want.collect()))
 
 
+def test_issue_files_without_texts(spark, tmp_path, monkeypatch):
+    """Rows on their way to files don't hold their text once for each issue, nothing is cached, and all comes back; a kind without rows is an empty file."""
+    rows, path = asr(spark, [*TEXTS, ("long", "ab 12 cd " * 500, TEXTS[0][2])]), str(tmp_path / "issues")
+    want = sorted(map(str, fix.issues_of(fix.correct(rows)).collect()))
+    made = fix.correct(rows, texts=False)
+    assert made.filter(F.exists("issues", lambda i: i["context_full"].isNotNull())).count() == 0
+    monkeypatch.setattr(type(rows), "persist", None)
+    for _ in range(2):  # the second time over the first
+        io.write_outputs(made, path, str(tmp_path / "available"))
+        assert sorted(map(str, io.read_issues(spark, path).collect())) == want
+    assert sorted(map(str, spark.read.schema(schemas.TEXT_AVAIL).json(str(tmp_path / "available")).collect())) == sorted(map(str, fix.available(made).collect()))
+    assert "context_marked_safe" not in spark.read.json(path).columns
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["available", "issues", "issues_texts"]
+    io.write_outputs(made.filter("false"), path, str(tmp_path / "available"))
+    assert io.read_issues(spark, path).count() == spark.read.json(path).count() == spark.read.json(str(tmp_path / "available")).count() == 0
+
+
 def test_datasets(spark, tmp_path):
     path = str(tmp_path / "d")
     with pytest.raises(FileNotFoundError):
